@@ -9,6 +9,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from arborlex.llm.warc import archive_pages
+
+    read = archive_pages(spark, _table(spark, sf_dir, "pages"))
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from arborlex.llm.sharding import shard_digest
 
@@ -21,4 +28,10 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_digest(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_sharding, op6_mixing)}
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from arborlex.llm.secrets import secret_digest
+
+    return secret_digest(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_warc, op3_sharding, op6_mixing, op10_secrets)}
