@@ -22,6 +22,12 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_digest(_table(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from arborlex.llm.toxicity import toxicity
+
+    return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from arborlex.llm.mixing import mix_digest
 
@@ -34,4 +40,4 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digest(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op3_sharding, op6_mixing, op10_secrets)}
+QUERIES = {f.__name__: f for f in (op1_warc, op3_sharding, op5_toxicity, op6_mixing, op10_secrets)}
