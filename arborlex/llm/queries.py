@@ -34,10 +34,16 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_digest(_table(spark, sf_dir, "documents"))
 
 
+def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from arborlex.llm.jaccard import similar_components
+
+    return similar_components(_table(spark, sf_dir, "documents"))
+
+
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from arborlex.llm.secrets import secret_digest
 
     return secret_digest(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op3_sharding, op5_toxicity, op6_mixing, op10_secrets)}
+QUERIES = {f.__name__: f for f in (op1_warc, op3_sharding, op5_toxicity, op6_mixing, op9_jaccard, op10_secrets)}
