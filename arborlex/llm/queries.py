@@ -16,6 +16,12 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from arborlex.llm.decontaminate import overlaps
+
+    return overlaps(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from arborlex.llm.sharding import shard_digest
 
@@ -34,6 +40,12 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_digest(_table(spark, sf_dir, "documents"))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from arborlex.llm.quality import score_quality
+
+    return score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     from arborlex.llm.jaccard import similar_components
 
@@ -46,4 +58,4 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digest(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op3_sharding, op5_toxicity, op6_mixing, op9_jaccard, op10_secrets)}
+QUERIES = {f.__name__: f for f in (op1_warc, op2_decontamination, op3_sharding, op5_toxicity, op6_mixing, op8_quality, op9_jaccard, op10_secrets)}
