@@ -28,6 +28,12 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_digest(_table(spark, sf_dir, "documents"))
 
 
+def op4_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from arborlex.llm.hnsw import nearest
+
+    return nearest(_table(spark, sf_dir, "embeddings"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from arborlex.llm.toxicity import toxicity
 
@@ -58,4 +64,4 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digest(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op2_decontamination, op3_sharding, op5_toxicity, op6_mixing, op8_quality, op9_jaccard, op10_secrets)}
+QUERIES = {f.__name__: f for f in (op1_warc, op2_decontamination, op3_sharding, op4_hnsw, op5_toxicity, op6_mixing, op8_quality, op9_jaccard, op10_secrets)}
