@@ -46,6 +46,12 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_digest(_table(spark, sf_dir, "documents"))
 
 
+def op7_chaining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from arborlex.llm.chaining import shared_passages
+
+    return shared_passages(_table(spark, sf_dir, "documents"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from arborlex.llm.quality import score_quality
 
@@ -64,4 +70,4 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digest(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op2_decontamination, op3_sharding, op4_hnsw, op5_toxicity, op6_mixing, op8_quality, op9_jaccard, op10_secrets)}
+QUERIES = {f.__name__: f for f in (op1_warc, op2_decontamination, op3_sharding, op4_hnsw, op5_toxicity, op6_mixing, op7_chaining, op8_quality, op9_jaccard, op10_secrets)}
