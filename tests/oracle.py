@@ -1,8 +1,10 @@
 """Holds registered queries against their SQL in DuckDB."""
 
+import math
 import os
 
 import duckdb
+import pandas as pd
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
@@ -15,9 +17,16 @@ def connection(sf: str):
     return con
 
 
+def _plain(v):
+    """Values as they are whatever pandas makes of columns with nulls."""
+    if v is None or v is pd.NA or isinstance(v, float) and math.isnan(v):
+        return None
+    return int(v) if isinstance(v, (float, int)) and not isinstance(v, bool) and float(v).is_integer() else v
+
+
 def rows(frame) -> list[str]:
     columns = sorted(frame.columns)
-    return sorted(str(tuple(r)) for r in frame[columns].astype(object).itertuples(index=False))
+    return sorted(str(tuple(map(_plain, r))) for r in frame[columns].astype(object).itertuples(index=False))
 
 
 def compare(spark, con, sf: str, query, sql: str) -> None:
