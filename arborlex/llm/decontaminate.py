@@ -12,7 +12,8 @@ DataFrame functions only. Items are counted: few enough window hashes are
 broadcast, more are met by a shuffled join. The texts of documents without a hit
 are read once and go nowhere.
 
-Words are runs of letters and digits, in lower case. Defined results: null and
+Words are runs of letters, digits, marks and underscores, in lower case; seeds see
+them as 64-bit hashes, overlaps as text. Defined results: null and
 empty texts and items hold no words; items under SHORTEST words take no part; items
 with the same words count as the one with the smallest id; repeated rows give one
 row; null ids are kept apart from others and match each other; empty tables give no
@@ -32,13 +33,17 @@ MASKS = ("111111", "1110111", "11011011", "11100111")
 SHORTEST = 6
 MATCHED = 13
 PENALTY = 3
-_SPLIT = r"[^\p{L}\p{N}]+"
+_SPLIT = r"(?U)\W+"
 
 
 def words(text: str) -> Column:
-    """The words of a text; one empty word where there is none."""
-    low = F.lower(F.coalesce(F.col(text), F.lit("")))
-    return F.split(F.regexp_replace(low, rf"^{_SPLIT}|{_SPLIT}$", ""), _SPLIT)
+    """The words of a text."""
+    return F.array_remove(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), _SPLIT), "")
+
+
+def hashed(w: Column) -> Column:
+    """Words as numbers: rows of numbers are far cheaper to take apart than strings."""
+    return F.transform(w, lambda x: F.xxhash64(x))
 
 
 def seed_hashes(df: DataFrame, masks: tuple[str, ...] = MASKS) -> DataFrame:
@@ -59,28 +64,28 @@ def seed_hashes(df: DataFrame, masks: tuple[str, ...] = MASKS) -> DataFrame:
     return rows.select(*keep, "at", *(one(k, m).alias(f"h{k}") for k, m in enumerate(masks)))
 
 
-def _long(hashed: DataFrame, masks: tuple[str, ...]) -> DataFrame:
-    keep = [c for c in hashed.columns if c not in {f"h{k}" for k in range(len(masks))}]
-    return hashed.select(*keep, F.explode(F.array(*(f"h{k}" for k in range(len(masks))))).alias("h")).where("h is not null")
+def _long(rows: DataFrame, masks: tuple[str, ...]) -> DataFrame:
+    keep = [c for c in rows.columns if c not in {f"h{k}" for k in range(len(masks))}]
+    return rows.select(*keep, F.explode(F.array(*(f"h{k}" for k in range(len(masks))))).alias("h")).where("h is not null")
 
 
 def hits(docs: DataFrame, items: DataFrame, masks: tuple[str, ...] = MASKS) -> DataFrame:
     """Distinct (doc, item, diagonal) where some mask's hash agrees.
-    docs: doc, w; items: item, w."""
+    docs: doc, w; items: item, w (words, or their hashes)."""
     seeds = cut(_long(seed_hashes(items, masks), masks).select("h", "item", F.col("at").alias("item_at")).distinct(), "seeds")
-    hashed = seed_hashes(docs, masks)
+    rows = seed_hashes(docs, masks)
     if fits_broadcast(seeds):
         # first whether any mask hits at all, without taking the hashes apart
         keys = seeds.select("h").distinct()
         marks = []
         for k in range(len(masks)):
             own = F.broadcast(keys.select(F.col("h").alias(f"k{k}")))
-            hashed = hashed.join(own, F.col(f"h{k}") == F.col(f"k{k}"), "left")
+            rows = rows.join(own, F.col(f"h{k}") == F.col(f"k{k}"), "left")
             marks.append(F.col(f"k{k}").isNotNull())
-        hashed = hashed.where(reduce(Column.__or__, marks)).drop(*(f"k{k}" for k in range(len(masks))))
-        found = _long(hashed, masks).join(F.broadcast(seeds), "h")
+        rows = rows.where(reduce(Column.__or__, marks)).drop(*(f"k{k}" for k in range(len(masks))))
+        found = _long(rows, masks).join(F.broadcast(seeds), "h")
     else:
-        found = _long(hashed, masks).join(seeds, "h")
+        found = _long(rows, masks).join(seeds, "h")
     return found.select("doc", "item", (F.col("at") - F.col("item_at")).alias("diagonal")).distinct()
 
 
@@ -102,8 +107,8 @@ def overlaps(docs: DataFrame, bench: DataFrame, masks: tuple[str, ...] = MASKS,
     of every contaminated document and item; positions are words, ends exclusive."""
     items = bench.select(F.col(item_key).alias("item"), words(item_text).alias("w")).where(F.size("w") >= SHORTEST)
     items = cut(items.groupBy("w").agg(F.min("item").alias("item")), "items")
-    texts = docs.select(F.col(key).alias("doc"), words(text).alias("w"))
-    found = cut(hits(texts, items, masks), "hits")
+    texts = docs.select(F.col(key).alias("doc"), hashed(words(text)).alias("w"))
+    found = cut(hits(texts, items.select("item", hashed(F.col("w")).alias("w")), masks), "hits")
     mine = found.select(F.col("doc").alias("d"), "item", "diagonal")
     texts = docs.select(F.col(key).alias("doc"), F.col(text).alias("_t"))
     with_text = narrow_join(texts, mine, texts["doc"].eqNullSafe(mine["d"])).select("doc", "item", "diagonal", words("_t").alias("w"))
