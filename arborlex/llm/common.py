@@ -119,8 +119,9 @@ def token_hashes(texts: list, lower: bool = True) -> tuple[np.ndarray, np.ndarra
     text's words begin (one entry more than texts). None counts as no text.
 
     Words are found and hashed on the UTF-8 bytes as a whole: a word's hash is a
-    polynomial of its bytes, from differences of running sums."""
-    raw = [b"" if t is None else t.encode("utf-8", "surrogatepass") for t in texts]
+    polynomial of its bytes, from differences of running sums. Texts may be strings
+    or UTF-8 bytes of any kind."""
+    raw = [b"" if t is None else t.encode("utf-8", "surrogatepass") if isinstance(t, str) else t for t in texts]
     data = np.frombuffer(b" ".join(raw) + b" ", dtype=np.uint8)
     ends_of_text = np.cumsum([len(r) + 1 for r in raw], dtype=np.int64) if raw else np.zeros(0, np.int64)
     n = len(data)
@@ -149,7 +150,19 @@ def windows(tokens: np.ndarray, k: int) -> np.ndarray:
     return mix(h)
 
 
-def chunks(texts: list, chars: int = 2_000_000):
+def slices(column) -> list[memoryview]:
+    """The bytes of each value of an Arrow string or binary column, without copying;
+    no bytes for nulls."""
+    wide = np.int64 if str(column.type).startswith("large") else np.int32
+    _, offsets, data = column.buffers()
+    if data is None:
+        return [memoryview(b"")] * len(column)
+    at = np.frombuffer(offsets, wide)[column.offset : column.offset + len(column) + 1].tolist()
+    view = memoryview(data)
+    return [view[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
+
+
+def chunks(texts: list, chars: int = 300_000):
     """(from, to) ranges over texts with about so many characters each, so that the
     tokenizer's arrays stay small however the rows come in."""
     begin = size = 0

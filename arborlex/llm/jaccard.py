@@ -10,13 +10,13 @@ rule them out. Every pair that stays is decided on the whole sets.
    sets must share one, and a reserve. Shingles are packed by block, each class
    once a batch, so copies cost nothing. A block keeps what two classes share.
 3. Classes with too few shared entries for any partner are out.
-4. Each class is checked against the smallest class of its buckets that it shares
-   most with; links found make components.
-5. Only pairs across components are left. A bucket that would still make many
-   pairs for its rows is hot: its shingle goes to the end of the order, for all
-   classes alike, which the reserve makes room for; classes whose reserve is too
-   short are done again with a longer one. All pairs of the other buckets that
-   share as many entries as their sizes ask for are checked.
+4. Each class is checked against the most central class of its buckets (the one
+   whose entries are shared most) that it shares most with; links found make
+   components.
+5. Only pairs across components are left. Classes that share enough listed entries
+   with other components, and then 80 % of their whole sets, are put in order of how
+   many pairs each shingle would make, rarest first; linked ones share one of the
+   few that the prefix bound leaves. What sizes and places still allow is checked.
 6. Components of all links found.
 
 The order never changes the result; no pair is dropped but by a bound.
@@ -34,17 +34,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from arborlex.llm.common import chunks, cut, mix, narrow_join, token_hashes, windows
+from arborlex.llm.common import chunks, cut, fits_broadcast, mix, narrow_join, slices, token_hashes, windows
 from arborlex.llm.components import components
 
 WORDS = 5
 RESERVE = 48
-#: Pairs across components that a bucket may make for each of its rows.
-HOT = 64
-_FLUSH = 400_000
+_FLUSH = 200_000
 _SHORT = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -57,12 +57,12 @@ def _needed(n):
 
 
 def _reserve(n, reserve: int):
-    return np.maximum(reserve, (n - _needed(n) + 1) // 4)
+    return max(reserve, (n - _needed(n) + 1) // 4)
 
 
 def _listed(n, reserve: int):
     """How many of n shingles are listed: prefix and reserve."""
-    return np.minimum(n, n - _needed(n) + 1 + _reserve(n, reserve))
+    return min(n, n - _needed(n) + 1 + _reserve(n, reserve))
 
 
 # ---------------------------------------------------------------------- sets
@@ -77,7 +77,7 @@ def shingle_sets(texts: list) -> Iterator[np.ndarray]:
             if len(own) >= WORDS:
                 yield np.unique(windows(own, WORDS))
             elif len(own):
-                yield windows(own, len(own)) ^ (_SHORT * np.uint64(len(own)))
+                yield windows(own, len(own)) ^ np.uint64(int(_SHORT) * len(own) & (1 << 64) - 1)
             else:
                 yield np.zeros(0, np.uint64)
 
@@ -88,27 +88,37 @@ def fingerprint(s: np.ndarray) -> int:
     return int(mix(np.array([total]))[0].astype(np.int64))
 
 
-def _classes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sets = [(fingerprint(s), len(s)) for s in shingle_sets(batch["text"].tolist())]
-        yield pd.DataFrame({"uid": batch["uid"], "fp": [f for f, _ in sets], "n": [n for _, n in sets]})
+        sets = [(fingerprint(s), len(s)) for s in shingle_sets(slices(batch.column("text")))]
+        yield pa.RecordBatch.from_arrays([batch.column("uid"), pa.array([f for f, _ in sets], pa.int64()), pa.array([n for _, n in sets], pa.int64())], ["uid", "fp", "n"])
 
 
 def document_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, fp, n of every row."""
     rows = docs.select(F.col(key).cast("string").alias("uid"), F.col(text).alias("text"))
     kind = docs.schema[key].dataType.simpleString()
-    return rows.mapInPandas(_classes, "uid string, fp long, n long").select(F.col("uid").cast(kind).alias("doc_id"), "fp", "n")
+    return rows.mapInArrow(_classes, "uid string, fp long, n long").select(F.col("uid").cast(kind).alias("doc_id"), "fp", "n")
 
 
 # -------------------------------------------------------------------- blocks
 
 
 def _packer(blocks: int, reserve: int):
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """From texts (column text), or from sets (fp, s)."""
+
+    def sets_of(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
+        if "s" in batch.schema.names:
+            for f, x in zip(batch.column("fp").to_pylist(), slices(batch.column("s")), strict=True):
+                yield f, np.frombuffer(x, np.uint64)
+        else:
+            for s in shingle_sets(slices(batch.column("text"))):
+                yield (fingerprint(s) if len(s) else 0), s
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lists, meta, seen, size = [], [], set(), 0
 
-        def flush() -> pd.DataFrame:
+        def flush() -> pa.RecordBatch:
             lengths = np.array([len(x) for x in lists])
             h, of = np.concatenate(lists), np.repeat(np.arange(len(lists)), lengths)
             block = (h % np.uint64(blocks)).astype(np.int64)
@@ -120,15 +130,14 @@ def _packer(blocks: int, reserve: int):
             for x, y, k in zip(np.split(h, cut_at), np.split(of, cut_at), block[np.concatenate([[0], cut_at])], strict=True):
                 who, count = np.unique(y, return_counts=True)
                 rows.append((int(k), np.int64(len(who)).tobytes() + fp[who].tobytes() + n[who].tobytes() + count.astype(np.int32).tobytes() + x.tobytes()))
-            return pd.DataFrame(rows, columns=["block", "data"])
+            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["block", "data"])
 
         for batch in batches:
-            for s in shingle_sets(batch["text"].tolist()):
-                f = fingerprint(s) if len(s) else 0
+            for f, s in sets_of(batch):
                 if not len(s) or f in seen:
                     continue
                 seen.add(f)
-                lists.append(s[: int(_listed(len(s), reserve))])
+                lists.append(s[: int(_listed(len(s), reserve))].copy())
                 meta.append((f, len(s)))
                 size += len(lists[-1])
                 if size >= _FLUSH:
@@ -174,10 +183,11 @@ def _multiply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield _shared(parts)
 
 
-def shared_entries(docs: DataFrame, reserve: int = RESERVE, text: str = "text") -> DataFrame:
-    """h, fp, n: listed shingles that more than one class lists."""
-    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    packed = docs.select(F.col(text).alias("text")).mapInPandas(_packer(partitions * 4, reserve), "block int, data binary")
+def shared_entries(source: DataFrame, reserve: int = RESERVE) -> DataFrame:
+    """h, fp, n: listed shingles that more than one class lists. source: text, or
+    fp and s (the whole set)."""
+    partitions = int(source.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    packed = source.mapInArrow(_packer(partitions * 4, reserve), "block int, data binary")
     blocks = packed.repartition(partitions, "block").sortWithinPartitions("block")
     return blocks.mapInPandas(_multiply, "h long, fp long, n long")
 
@@ -185,41 +195,40 @@ def shared_entries(docs: DataFrame, reserve: int = RESERVE, text: str = "text")
 # ------------------------------------------------------------------ checking
 
 
-def _with_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = [(fingerprint(s), len(s), s.tobytes()) for s in shingle_sets(batch["text"].tolist()) if len(s)]
-        yield pd.DataFrame(rows, columns=["fp", "n", "s"])
+        texts = slices(batch.column("text"))
+        for a, b in chunks(texts):
+            sets = [s for s in shingle_sets(texts[a:b]) if len(s)]
+            yield pa.RecordBatch.from_arrays([pa.array([fingerprint(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["fp", "n", "s"])
 
 
 def class_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """fp, s (the whole set) of the wanted classes, from one document of each."""
     one = classes.join(wanted, "fp", "left_semi").groupBy("fp").agg(F.min("doc_id").alias("_one"))
     ids = cut(one.select("_one").distinct(), "ids")
-    from arborlex.llm.common import fits_broadcast
-
     side = F.broadcast(ids) if fits_broadcast(ids) else ids
     rows = docs.join(side, docs[key].eqNullSafe(side["_one"]), "left_semi").select(F.col(text).alias("text"))
-    sets = rows.mapInPandas(_with_sets, "fp long, n long, s binary")
+    sets = rows.mapInArrow(_with_sets, "fp long, n long, s binary")
     return sets.dropDuplicates(["fp"]).join(wanted, "fp", "left_semi")
 
 
-def _decide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         linked = []
-        for x, y in zip(batch["s"], batch["t"], strict=True):
-            a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            both = np.concatenate([a, b])
+        for x, y in zip(slices(batch.column("s")), slices(batch.column("t")), strict=True):
+            both = np.concatenate([np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)])
             both.sort(kind="stable")
             shared = int((both[1:] == both[:-1]).sum())
-            linked.append(100 * shared >= 80 * (len(a) + len(b) - shared))
-        yield batch.loc[linked, ["a", "b"]]
+            linked.append(100 * shared >= 80 * (len(both) - shared))
+        yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
 
 def links_among(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Those of the pairs (a, b) of classes that are linked, on their whole sets."""
     left = pairs.join(sets.select(F.col("fp").alias("a"), "s"), "a")
     both = left.join(sets.select(F.col("fp").alias("b"), F.col("s").alias("t")), "b")
-    return both.select("a", "b", "s", "t").mapInPandas(_decide, "a long, b long")
+    return both.select("a", "b", "s", "t").mapInArrow(_decide, "a long, b long")
 
 
 # ---------------------------------------------------------------------- join
@@ -241,53 +250,70 @@ def _sql_listed(n: str, reserve: int) -> str:
     return f"least({n}, {n} - {_sql_needed(n)} + 1 + {_sql_reserve(n, reserve)})"
 
 
-def class_links(docs: DataFrame, classes: DataFrame, reserve: int = RESERVE, hot: int = HOT, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Links (a, b) between classes: enough of them to give all components."""
-    entries = cut(shared_entries(docs, reserve, text), "entries")
-    # a class linked with any other shares at least so many entries with it
+def _fewest(reserve: int) -> str:
+    """SQL: shared listed entries that a class of n has with any that it is linked with."""
     least_size = _sql_needed("n")
-    fewest = f"least({least_size}, 1 + {_sql_reserve(f'({least_size})', reserve)})"
-    able = cut(entries.groupBy("fp", "n").agg(F.count(F.lit(1)).alias("c")).where(f"c >= {fewest}").select("fp"), "able")
+    return f"least({least_size}, 1 + {_sql_reserve(f'({least_size})', reserve)})"
+
+
+def _weights(named: DataFrame) -> DataFrame:
+    """h, w: twice the pairs across groups of each shingle that more than one group has."""
+    by_group = named.groupBy("h", "g").agg(F.count(F.lit(1)).alias("c"))
+    shared = by_group.groupBy("h").agg(F.count(F.lit(1)).alias("k"), F.sum("c").alias("c"), F.sum(F.col("c") * F.col("c")).alias("q"))
+    return shared.where("k > 1").select("h", (F.col("c") * F.col("c") - F.col("q")).alias("w"))
+
+
+def across(entries: DataFrame, sets: DataFrame, groups: DataFrame, reserve: int) -> DataFrame:
+    """Links (a, b) between classes of different groups, all of them."""
+    grouped = lambda e: cut(narrow_join(e, groups, "fp", "left").select("h", "fp", "n", F.coalesce("g", "fp").alias("g")), "named")
+    counted = lambda rows: rows.groupBy("fp", "n").agg(F.count(F.lit(1)).alias("m"))
+    named = grouped(entries)
+    # a class that shares too few listed entries with other groups has no link to them
+    mixed = narrow_join(named, cut(_weights(named), "weights"), "h")
+    open_ = cut(counted(mixed).where(f"m >= {_fewest(reserve)}").select("fp"), "open")
+    # of the others, whole sets: 80 % of each must be shared with other groups
+    named = grouped(shared_entries(narrow_join(sets, open_, "fp", "left_semi").select("fp", "s"), 1 << 40))
+    for _ in range(2):  # what went out may have been another's only partner
+        mixed = cut(narrow_join(named, cut(_weights(named), "weights"), "h"), "mixed")
+        whole = cut(counted(mixed).where(f"m >= {_sql_needed('n')}").select("fp", "m"), "whole")
+        named = narrow_join(mixed.drop("w"), whole.select("fp"), "fp", "left_semi")
+    # rarest first; what only one group has comes before all and matches nothing
+    at = F.row_number().over(W.partitionBy("fp").orderBy("w", "h"))
+    rows = narrow_join(mixed, whole, "fp").withColumn("i", at).where(f"i <= m - {_sql_needed('n')} + 1")
+    rows = cut(rows, "prefix")
+    side = lambda k: rows.select("h", *(F.col(c).alias(f"{k}_{c}") for c in ("fp", "n", "g", "m", "i")))
+    pairs = side("x").join(side("y"), "h").where((F.col("x_fp") < F.col("y_fp")) & (F.col("x_g") != F.col("y_g")) & _size_ok("x_n", "y_n"))
+    # matches so far and those that may follow must reach 4/9 of both sizes
+    pairs = pairs.where("least(x_i, y_i) + least(x_m - x_i, y_m - y_i) >= (4 * (x_n + y_n) + 8) div 9")
+    rest = cut(pairs.select(F.col("x_fp").alias("a"), F.col("y_fp").alias("b")).distinct(), "pairs")
+    return cut(links_among(rest, sets), "links")
+
+
+def class_links(docs: DataFrame, classes: DataFrame, reserve: int = RESERVE, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Links (a, b) between classes: enough of them to give all components."""
+    entries = cut(shared_entries(docs.select(F.col(text).alias("text")), reserve), "entries")
+    able = cut(entries.groupBy("fp", "n").agg(F.count(F.lit(1)).alias("c")).where(f"c >= {_fewest(reserve)}").select("fp"), "able")
     entries = cut(narrow_join(entries, able, "fp", "left_semi"), "entries")
 
-    # each class against one of its buckets' smallest
-    pivots = cut(entries.groupBy("h").agg(F.min(F.struct("fp", "n")).alias("p"), F.max("fp").alias("most")).where("p.fp < most").select("h", F.col("p.fp").alias("b"), F.col("p.n").alias("bn")), "pivots")
+    # each class against the most central one of its buckets: the one whose entries
+    # are shared most (an original, rather than one of its copies)
+    spread = cut(entries.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "spread")
+    central = narrow_join(entries, spread, "h").groupBy("fp").agg((F.sum("c") / F.max(F.expr(_sql_listed("n", reserve)))).alias("v"))
+    ranked = narrow_join(entries, cut(central, "central"), "fp")
+    pivots = cut(ranked.groupBy("h").agg(F.max(F.struct("v", "fp", "n")).alias("p"), F.count(F.lit(1)).alias("c")).where("c > 1").select("h", F.col("p.fp").alias("b"), F.col("p.n").alias("bn")), "pivots")
     star = narrow_join(entries, pivots, "h").where((F.col("fp") != F.col("b")) & _size_ok("n", "bn"))
     star = star.groupBy("fp", "b").agg(F.count(F.lit(1)).alias("c")).groupBy("fp").agg(F.max_by("b", F.struct("c", -F.col("b"))).alias("b"))
     star = cut(star.select(F.col("fp").alias("a"), "b"), "star")
     sets = cut(class_sets(docs, classes, able, key, text), "sets")
     links = cut(links_among(star, sets), "links")
-    groups = cut(components(links), "groups")
-
-    # what is left: pairs across components
-    named = cut(narrow_join(entries, groups.withColumnsRenamed({"node": "fp", "component": "g"}), "fp", "left").select("h", "fp", "n", F.coalesce("g", "fp").alias("g")), "named")
-    buckets = named.groupBy("h", "g").agg(F.count(F.lit(1)).alias("c")).groupBy("h").agg(F.count(F.lit(1)).alias("k"), F.sum("c").alias("c"), F.sum(F.col("c") * F.col("c")).alias("q"))
-    buckets = cut(buckets.where("k > 1").select("h", (F.col("c") * F.col("c") - F.col("q") > 2 * hot * F.col("c")).alias("hot")), "buckets")
-    mixed = cut(narrow_join(named, buckets, "h"), "mixed")
-    # entries of each class that went to the end of the order
-    late = mixed.where("hot").groupBy("fp").agg(F.count(F.lit(1)).alias("late"))
-    rows = narrow_join(mixed, cut(late, "late"), "fp", "left").withColumn("late", F.coalesce("late", F.lit(0)))
-    listed = _sql_listed("n", reserve)
-    rows = rows.withColumn("whole", F.expr(f"{listed} = n")).withColumn("short", F.expr(f"late > 0 and {listed} - late - (n - {_sql_needed('n')}) < 1"))
-    rows = cut(rows, "rows")
-    if not rows.where("short and not whole").isEmpty():
-        return class_links(docs, classes, reserve * 4, hot, key, text)
-    # a class listed as a whole, of hot shingles for the most part, is met in hot buckets too
-    rows = rows.where("not hot or short").withColumn("kept", F.when(F.col("short"), F.col("n")).otherwise(F.expr(f"{listed} - late")))
-    x = rows.select("h", "hot", *(F.col(c).alias(f"x_{c}") for c in ("fp", "n", "g", "kept", "whole", "late")))
-    y = rows.select("h", "hot", *(F.col(c).alias(f"y_{c}") for c in ("fp", "n", "g", "kept", "whole", "late")))
-    pairs = x.join(y, ["h", "hot"]).where((F.col("x_fp") < F.col("y_fp")) & (F.col("x_g") != F.col("y_g")) & _size_ok("x_n", "y_n"))
-    pairs = pairs.groupBy("x_fp", "y_fp", "x_n", "y_n", "x_kept", "y_kept").agg(F.count(F.lit(1)).alias("c"))
-    overlap = "(4 * (x_n + y_n) + 8) div 9"
-    pairs = pairs.where(f"c >= least(x_kept - x_n, y_kept - y_n) + {overlap}")
-    rest = cut(pairs.select(F.col("x_fp").alias("a"), F.col("y_fp").alias("b")), "pairs")
-    return links.union(cut(links_among(rest, sets), "links"))
-
-
-def similar_components(docs: DataFrame, reserve: int = RESERVE, hot: int = HOT, key: str = "doc_id", text: str = "text", with_class: bool = False) -> DataFrame:
+    groups = cut(components(links).withColumnsRenamed({"node": "fp", "component": "g"}), "groups")
+    return links.union(across(entries, sets, groups, reserve))
+
+
+def similar_components(docs: DataFrame, reserve: int = RESERVE, key: str = "doc_id", text: str = "text", with_class: bool = False) -> DataFrame:
     """doc_id, n_shingles, component_id of every row (and its class, fp)."""
     classes = cut(document_classes(docs, key, text), "classes")
-    groups = cut(components(class_links(docs, classes, reserve, hot, key, text)), "groups").withColumnsRenamed({"node": "fp", "component": "g"})
+    groups = cut(components(class_links(docs, classes, reserve, key, text)), "groups").withColumnsRenamed({"node": "fp", "component": "g"})
     named = cut(narrow_join(classes, groups, "fp", "left").withColumn("g", F.coalesce("g", "fp")), "documents")
     first = named.where("n > 0").groupBy("g").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("c")).where("c > 1").select("g", "first", F.lit(True).alias("some"))
     out = narrow_join(named, cut(first, "first"), "g", "left")
