@@ -16,7 +16,8 @@ rule them out. Every pair that stays is decided on the whole sets.
 5. Only pairs across components are left. Classes that share enough listed entries
    with other components, and then 80 % of their whole sets, are put in order of how
    many pairs each shingle would make, rarest first; linked ones share one of the
-   few that the prefix bound leaves. What sizes and places still allow is checked.
+   few that the prefix bound leaves. What sizes, places and bitmaps still allow is
+   checked.
 6. Components of all links found.
 
 The order never changes the result; no pair is dropped but by a bound.
@@ -36,7 +37,6 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from arborlex.llm.common import chunks, cut, fits_broadcast, mix, narrow_join, slices, token_hashes, windows
@@ -256,35 +256,135 @@ def _fewest(reserve: int) -> str:
     return f"least({least_size}, 1 + {_sql_reserve(f'({least_size})', reserve)})"
 
 
-def _weights(named: DataFrame) -> DataFrame:
-    """h, w: twice the pairs across groups of each shingle that more than one group has."""
-    by_group = named.groupBy("h", "g").agg(F.count(F.lit(1)).alias("c"))
-    shared = by_group.groupBy("h").agg(F.count(F.lit(1)).alias("k"), F.sum("c").alias("c"), F.sum(F.col("c") * F.col("c")).alias("q"))
-    return shared.where("k > 1").select("h", (F.col("c") * F.col("c") - F.col("q")).alias("w"))
+def _grouped_packer(blocks: int):
+    """Whole sets (fp, g, s) by block of shingles."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fps, gs = batch.column("fp").to_numpy(), batch.column("g").to_numpy()
+            sets = [np.frombuffer(x, np.uint64) for x in slices(batch.column("s"))]
+            n = np.array([len(x) for x in sets], np.int32)
+            begin = size = 0
+            for i, x in enumerate(sets):
+                size += len(x)
+                if size >= _FLUSH or i + 1 == len(sets):
+                    own = slice(begin, i + 1)
+                    h, of = np.concatenate(sets[own]), np.repeat(np.arange(begin, i + 1), n[own])
+                    yield _blobs((h % np.uint64(blocks)).astype(np.int64), (h, fps[of], gs[of], n[of]))
+                    begin, size = i + 1, 0
+
+    return pack
+
+
+def _blobs(key: np.ndarray, columns: tuple[np.ndarray, ...]) -> pa.RecordBatch:
+    """One row for each key with the columns' values packed one after the other."""
+    order = np.argsort(key, kind="stable")
+    key, columns = key[order], [c[order] for c in columns]
+    cut_at = np.flatnonzero(np.diff(key)) + 1
+    first = np.concatenate([[0], cut_at]) if len(key) else np.zeros(0, np.int64)
+    parts = zip(*(np.split(c, cut_at) for c in columns), strict=True)
+    data = [b"".join([np.int64(len(p[0])).tobytes(), *(c.tobytes() for c in p)]) for p in parts] if len(key) else []
+    return pa.RecordBatch.from_arrays([pa.array(key[first], pa.int32()), pa.array(data, pa.binary())], ["block", "data"])
+
+
+def _unblob(parts: list[bytes], kinds: tuple) -> list[np.ndarray]:
+    out: list[list[np.ndarray]] = [[] for _ in kinds]
+    for data in parts:
+        n, at = int(np.frombuffer(data, np.int64, 1)[0]), 8
+        for k, kind in enumerate(kinds):
+            out[k].append(np.frombuffer(data, kind, n, at))
+            at += n * np.dtype(kind).itemsize
+    return [np.concatenate(c) for c in out]
+
+
+def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[list[bytes]]:
+    """The data of each block, from rows sorted by block."""
+    at, parts = None, []
+    for batch in batches:
+        for block, data in zip(batch.column("block").to_pylist(), batch.column("data").to_pylist(), strict=True):
+            if block != at and parts:
+                yield parts
+                parts = []
+            at = block
+            parts.append(data)
+    if parts:
+        yield parts
+
+
+_ENTRY = (np.uint64, np.int64, np.int64, np.int32)
+
+
+def _mixed(outs: int):
+    """Of each block, entries whose shingle more than one group has, with the number
+    of (ordered) pairs across groups that it would make; by class."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for parts in _by_block(batches):
+            h, fp, g, n = _unblob(parts, _ENTRY)
+            order = np.lexsort((fp, g, h))
+            h, fp, g, n = h[order], fp[order], g[order], n[order]
+            new = np.concatenate([[True], (h[1:] != h[:-1]) | (fp[1:] != fp[:-1])])
+            h, fp, g, n = h[new], fp[new], g[new], n[new]
+            starts = np.concatenate([[True], h[1:] != h[:-1]])
+            shingle = np.cumsum(starts) - 1
+            group = np.cumsum(starts | np.concatenate([[True], g[1:] != g[:-1]])) - 1
+            size = np.bincount(group)
+            square = np.bincount(shingle[np.concatenate([[True], group[1:] != group[:-1]])], weights=size.astype(float) ** 2)
+            w = np.bincount(shingle).astype(float) ** 2 - square
+            keep = w[shingle] > 0
+            if keep.any():
+                yield _blobs(fp[keep] % outs, (h[keep], fp[keep], g[keep], n[keep], w[shingle][keep]))
+
+    return run
+
+
+#: 64-bit words of a class's bitmap: a shingle of one class whose bit another lacks is
+#: not in the other, which bounds what the two can share.
+_WORDS = 16
+_PREFIX = ["h", "fp", "n", "g", "m", "i", *(f"b{k}" for k in range(_WORDS))]
+
+
+def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each class with 80 % of its set in such entries, the rarest of them: what a
+    linked class must share one of. What only one group has comes before all and
+    matches nothing."""
+    for parts in _by_block(batches):
+        h, fp, g, n, w = _unblob(parts, (*_ENTRY, np.float64))
+        order = np.lexsort((h, w, fp))
+        h, fp, g, n = h[order], fp[order], g[order], n[order].astype(np.int64)
+        first = np.flatnonzero(np.concatenate([[True], fp[1:] != fp[:-1]]))
+        m = np.diff(np.concatenate([first, [len(fp)]]))
+        i = np.arange(len(fp)) - np.repeat(first, m) + 1
+        m = np.repeat(m, m)
+        who = np.repeat(np.arange(len(first)), np.diff(np.concatenate([first, [len(fp)]])))
+        bits = np.zeros((len(first), _WORDS), np.uint64)
+        at = h % np.uint64(64 * _WORDS)
+        np.bitwise_or.at(bits, (who, (at >> np.uint64(6)).astype(np.int64)), np.uint64(1) << (at & np.uint64(63)))
+        keep = (m >= _needed(n)) & (i <= m - _needed(n) + 1)
+        columns = [x[keep].astype(np.int64) for x in (h.view(np.int64), fp, n, g, m, i)] + [bits[who[keep], k].view(np.int64) for k in range(_WORDS)]
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], _PREFIX)
 
 
 def across(entries: DataFrame, sets: DataFrame, groups: DataFrame, reserve: int) -> DataFrame:
     """Links (a, b) between classes of different groups, all of them."""
-    grouped = lambda e: cut(narrow_join(e, groups, "fp", "left").select("h", "fp", "n", F.coalesce("g", "fp").alias("g")), "named")
-    counted = lambda rows: rows.groupBy("fp", "n").agg(F.count(F.lit(1)).alias("m"))
-    named = grouped(entries)
+    named = cut(narrow_join(entries, groups, "fp", "left").select("h", "fp", "n", F.coalesce("g", "fp").alias("g")), "named")
     # a class that shares too few listed entries with other groups has no link to them
-    mixed = narrow_join(named, cut(_weights(named), "weights"), "h")
-    open_ = cut(counted(mixed).where(f"m >= {_fewest(reserve)}").select("fp"), "open")
-    # of the others, whole sets: 80 % of each must be shared with other groups
-    named = grouped(shared_entries(narrow_join(sets, open_, "fp", "left_semi").select("fp", "s"), 1 << 40))
-    for _ in range(2):  # what went out may have been another's only partner
-        mixed = cut(narrow_join(named, cut(_weights(named), "weights"), "h"), "mixed")
-        whole = cut(counted(mixed).where(f"m >= {_sql_needed('n')}").select("fp", "m"), "whole")
-        named = narrow_join(mixed.drop("w"), whole.select("fp"), "fp", "left_semi")
-    # rarest first; what only one group has comes before all and matches nothing
-    at = F.row_number().over(W.partitionBy("fp").orderBy("w", "h"))
-    rows = narrow_join(mixed, whole, "fp").withColumn("i", at).where(f"i <= m - {_sql_needed('n')} + 1")
-    rows = cut(rows, "prefix")
-    side = lambda k: rows.select("h", *(F.col(c).alias(f"{k}_{c}") for c in ("fp", "n", "g", "m", "i")))
+    several = cut(named.groupBy("h").agg(F.min("g").alias("a"), F.max("g").alias("b")).where("a < b").select("h"), "several")
+    open_ = narrow_join(named, several, "h", "left_semi").groupBy("fp", "n", "g").agg(F.count(F.lit(1)).alias("m")).where(f"m >= {_fewest(reserve)}").select("fp", "g")
+    # of the others, whole sets
+    parts = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    whole = narrow_join(sets.select("fp", "s"), cut(open_, "open"), "fp").select("fp", "g", "s")
+    dealt = lambda df: df.repartition(parts, "block").sortWithinPartitions("block")
+    mixed = dealt(whole.mapInArrow(_grouped_packer(parts * 4), "block int, data binary")).mapInArrow(_mixed(parts * 4), "block int, data binary")
+    rows = cut(dealt(mixed).mapInArrow(_prefixes, ", ".join(f"{c} long" for c in _PREFIX)), "prefix")
+    side = lambda k: rows.select("h", *(F.col(c).alias(f"{k}_{c}") for c in _PREFIX[1:]))
     pairs = side("x").join(side("y"), "h").where((F.col("x_fp") < F.col("y_fp")) & (F.col("x_g") != F.col("y_g")) & _size_ok("x_n", "y_n"))
     # matches so far and those that may follow must reach 4/9 of both sizes
-    pairs = pairs.where("least(x_i, y_i) + least(x_m - x_i, y_m - y_i) >= (4 * (x_n + y_n) + 8) div 9")
+    overlap = "(4 * (x_n + y_n) + 8) div 9"
+    pairs = pairs.where(f"least(x_i, y_i) + least(x_m - x_i, y_m - y_i) >= {overlap}")
+    for a, b in (("x", "y"), ("y", "x")):
+        lacking = " + ".join(f"bit_count({a}_b{k} & ~{b}_b{k})" for k in range(_WORDS))
+        pairs = pairs.where(f"{a}_m - ({lacking}) >= {overlap}")
     rest = cut(pairs.select(F.col("x_fp").alias("a"), F.col("y_fp").alias("b")).distinct(), "pairs")
     return cut(links_among(rest, sets), "links")
 
