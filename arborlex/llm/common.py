@@ -1,64 +1,22 @@
-"""Helpers shared by the training-data operators: tables that cut lineage,
-joins whose broadcast side is counted first, global order, and a vectorised
-tokenizer."""
+"""Helpers shared by the training-data operators: global order with prefix sums and a
+vectorised tokenizer; tables that cut lineage and counted broadcasts come from the
+library."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from functools import reduce
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-#: Rows of a narrow side (ids and a few numbers) up to which it is broadcast;
-#: beyond it the same join shuffles.
-BROADCAST_ROWS = 1_000_000
-#: Words are maximal runs of anything but ASCII white space.
-WORD = r"[^\x20\x09-\x0D]+"
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; set here only where unset."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = spark.sparkContext.getCheckpointDir()
-    if not path:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        path = "file://" + tempfile.mkdtemp(prefix="arborlex-")
-        spark.sparkContext.setCheckpointDir(path)
-    return path.rstrip("/")
+from arborlex.operators.storage import BROADCAST_ROWS, cut, fits_broadcast, narrow_join, new_path, shared_dir
 
+__all__ = ["BROADCAST_ROWS", "WORD", "chunks", "cut", "fits_broadcast", "global_order", "mix", "narrow_join", "new_path", "shared_dir", "slices", "token_hashes", "union_all", "windows"]
 
-def new_path(spark: SparkSession, tag: str) -> str:
-    """A fresh path in the shared folder, removed when the session's JVM ends."""
-    path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jpath)
-    return path
-
-
-def cut(df: DataFrame, tag: str = "cut") -> DataFrame:
-    """Write df to the shared folder and read it back: later steps start there,
-    also after an executor is lost."""
-    spark = df.sparkSession
-    path = new_path(spark, tag)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def fits_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
-    """Whether df has at most `limit` rows, counted (no more than limit + 1 of them)."""
-    return df.limit(limit + 1).count() <= limit
-
-
-def narrow_join(big: DataFrame, small: DataFrame, on, how: str = "inner", limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Join with a narrow side: broadcast when counted small, else a shuffled join
-    (adaptive execution splits its hot keys)."""
-    return big.join(F.broadcast(small) if fits_broadcast(small, limit) else small, on, how)
+#: Words are maximal runs of anything but ASCII white space.
+WORD = r"[^\x20\x09-\x0D]+"
 
 
 def global_order(df: DataFrame, by: list, sums: dict[str, str], tag: str = "order") -> DataFrame:
