@@ -187,7 +187,7 @@ def shared_entries(source: DataFrame, reserve: int = RESERVE) -> DataFrame:
     """h, fp, n: listed shingles that more than one class lists. source: text, or
     fp and s (the whole set)."""
     partitions = int(source.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    packed = source.mapInArrow(_packer(partitions * 4, reserve), "block int, data binary")
+    packed = source.mapInArrow(_packer(partitions, reserve), "block int, data binary")
     blocks = packed.repartition(partitions, "block").sortWithinPartitions("block")
     return blocks.mapInPandas(_multiply, "h long, fp long, n long")
 
@@ -226,6 +226,8 @@ def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def links_among(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Those of the pairs (a, b) of classes that are linked, on their whole sets."""
+    named = cut(pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct(), "named")
+    sets = narrow_join(sets, named, "fp", "left_semi")
     left = pairs.join(sets.select(F.col("fp").alias("a"), "s"), "a")
     both = left.join(sets.select(F.col("fp").alias("b"), F.col("s").alias("t")), "b")
     return both.select("a", "b", "s", "t").mapInArrow(_decide, "a long, b long")
@@ -370,7 +372,7 @@ def across(entries: DataFrame, sets: DataFrame, groups: DataFrame, reserve: int)
     named = cut(narrow_join(entries, groups, "fp", "left").select("h", "fp", "n", F.coalesce("g", "fp").alias("g")), "named")
     # a class that shares too few listed entries with other groups has no link to them
     several = cut(named.groupBy("h").agg(F.min("g").alias("a"), F.max("g").alias("b")).where("a < b").select("h"), "several")
-    open_ = narrow_join(named, several, "h", "left_semi").groupBy("fp", "n", "g").agg(F.count(F.lit(1)).alias("m")).where(f"m >= {_fewest(reserve)}").select("fp", "g")
+    open_ = named.join(several, "h", "left_semi").groupBy("fp", "n", "g").agg(F.count(F.lit(1)).alias("m")).where(f"m >= {_fewest(reserve)}").select("fp", "g")
     # of the others, whole sets
     parts = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     whole = narrow_join(sets.select("fp", "s"), cut(open_, "open"), "fp").select("fp", "g", "s")
@@ -396,12 +398,13 @@ def class_links(docs: DataFrame, classes: DataFrame, reserve: int = RESERVE, key
     entries = cut(narrow_join(entries, able, "fp", "left_semi"), "entries")
 
     # each class against the most central one of its buckets: the one whose entries
-    # are shared most (an original, rather than one of its copies)
+    # are shared most (an original, rather than one of its copies). Tables by shingle
+    # grow with the corpus: they are joined by shuffling, at every size.
     spread = cut(entries.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "spread")
-    central = narrow_join(entries, spread, "h").groupBy("fp").agg((F.sum("c") / F.max(F.expr(_sql_listed("n", reserve)))).alias("v"))
+    central = entries.join(spread, "h").groupBy("fp").agg((F.sum("c") / F.max(F.expr(_sql_listed("n", reserve)))).alias("v"))
     ranked = narrow_join(entries, cut(central, "central"), "fp")
     pivots = cut(ranked.groupBy("h").agg(F.max(F.struct("v", "fp", "n")).alias("p"), F.count(F.lit(1)).alias("c")).where("c > 1").select("h", F.col("p.fp").alias("b"), F.col("p.n").alias("bn")), "pivots")
-    star = narrow_join(entries, pivots, "h").where((F.col("fp") != F.col("b")) & _size_ok("n", "bn"))
+    star = entries.join(pivots, "h").where((F.col("fp") != F.col("b")) & _size_ok("n", "bn"))
     star = star.groupBy("fp", "b").agg(F.count(F.lit(1)).alias("c")).groupBy("fp").agg(F.max_by("b", F.struct("c", -F.col("b"))).alias("b"))
     star = cut(star.select(F.col("fp").alias("a"), "b"), "star")
     sets = cut(class_sets(docs, classes, able, key, text), "sets")
