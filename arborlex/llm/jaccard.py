@@ -377,7 +377,7 @@ def across(entries: DataFrame, sets: DataFrame, groups: DataFrame, reserve: int)
     parts = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     whole = narrow_join(sets.select("fp", "s"), cut(open_, "open"), "fp").select("fp", "g", "s")
     dealt = lambda df: df.repartition(parts, "block").sortWithinPartitions("block")
-    mixed = dealt(whole.mapInArrow(_grouped_packer(parts * 4), "block int, data binary")).mapInArrow(_mixed(parts * 4), "block int, data binary")
+    mixed = dealt(whole.mapInArrow(_grouped_packer(parts), "block int, data binary")).mapInArrow(_mixed(parts), "block int, data binary")
     rows = cut(dealt(mixed).mapInArrow(_prefixes, ", ".join(f"{c} long" for c in _PREFIX)), "prefix")
     side = lambda k: rows.select("h", *(F.col(c).alias(f"{k}_{c}") for c in _PREFIX[1:]))
     pairs = side("x").join(side("y"), "h").where((F.col("x_fp") < F.col("y_fp")) & (F.col("x_g") != F.col("y_g")) & _size_ok("x_n", "y_n"))
