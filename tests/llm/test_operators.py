@@ -390,6 +390,22 @@ def test_passages(spark):
     assert chaining.shared_passages(empty(spark)).count() == 0
 
 
+def test_passages_of_stock_sentences(spark):
+    # documents 30 and 60 alone hold all of the passage; each half has other first and last holders
+    rng = random.Random(12)
+    a, b = prose(rng, 30), prose(rng, 30)
+    whole = lambda: " ".join((prose(rng, 40), a, b, prose(rng, 40)))
+    texts = [whole() if i in (30, 60) else " ".join((prose(rng, 40), (a, b)[i % 2], prose(rng, 40))) for i in range(80)]
+    # 25 holders of 40 words around which the 50 differ
+    core = prose(rng, 40)
+    ends = [prose(rng, 5) for _ in range(5)]
+    texts += [" ".join((prose(rng, 20), ends[i % 5], core, ends[i // 5], prose(rng, 20))) for i in range(25)]
+    twice = " ".join((prose(rng, 20), ends[1], core, ends[2], prose(rng, 20)))  # as document 80 + 11
+    out = chaining.shared_passages(texts_frame(spark, [*texts, twice])).collect()
+    pairs = {(r.doc_id, r.other_id) for r in out}
+    assert {(60, 30), (105, 91)} <= pairs and not [p for p in pairs if p[0] < 80 and p != (60, 30)]
+
+
 # ------------------------------------------------------------------ quality
 
 
