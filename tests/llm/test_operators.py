@@ -390,6 +390,35 @@ def test_passages(spark):
     assert chaining.shared_passages(empty(spark)).count() == 0
 
 
+def test_stretches_by_brute_force():
+    marks = lambda *runs: np.concatenate([np.full(n, 0 if good else -1) for good, n in runs])
+    exactly = marks(*[(True, 4), (False, 1)] * 9, (False, 1), (True, 4))
+    assert chaining.stretches(exactly) == [(0, 50)]
+    assert chaining.stretches(marks((True, 20), (False, 5), (True, 25)))[0] == (0, 50)
+    rng = np.random.default_rng(3)
+    for _ in range(300):
+        to = np.where(rng.random(rng.integers(0, 160)) < rng.choice([0.7, 0.8, 0.9]), 0, -1)
+        to[: rng.integers(0, 30)] = -1
+        sums = np.concatenate([[0], np.cumsum(to >= 0)])
+        any_at_all = any(5 * (sums[e] - sums[s]) >= 4 * (e - s) for s in range(len(to)) for e in range(s + 50, len(to) + 1))
+        got = chaining.stretches(to)
+        assert bool(got) == any_at_all
+        assert all(e - s >= 50 and 5 * (sums[e] - sums[s]) >= 4 * (e - s) for s, e in got)
+        assert all(a[1] <= b[0] for a, b in zip(got, got[1:], strict=False))
+
+
+def test_altered_passages(spark):
+    # 80 words of which every 10th is another
+    rng = random.Random(13)
+    texts = []
+    for _ in range(60):
+        p = prose(rng, 80)
+        texts += [" ".join((prose(rng, 30), p, prose(rng, 30))), " ".join((prose(rng, 30), changed(rng, p, 10), prose(rng, 30)))]
+    out = {(r.doc_id, r.other_id) for r in chaining.shared_passages(texts_frame(spark, texts)).collect()}
+    assert len(out & {(i + 1, i) for i in range(0, 120, 2)}) >= 54
+    assert all(a == b + 1 and b % 2 == 0 for a, b in out)
+
+
 def test_passages_of_stock_sentences(spark):
     # documents 30 and 60 alone hold all of the passage; each half has other first and last holders
     rng = random.Random(12)
