@@ -4,9 +4,10 @@ Each fixed mask looks at some positions of a window of words and ignores the res
 so a seed survives substitutions at the ignored ones. All windows of all documents
 and items are hashed under every mask and joined on the hash. A hit gives a
 diagonal (document position minus item position); on each diagonal the item is laid
-over the document word by word and the best stretch is found: matches count 1,
-substitutions cost PENALTY. A document is contaminated by an item when the best
-stretch has MATCHED matching words, or 80 % of a shorter item's.
+over the document word by word and the stretch with the most matching words is
+found, among those with at most one substitution to PENALTY matches. A document is
+contaminated by an item when that stretch has MATCHED matching words, or 80 % of a
+shorter item's.
 
 DataFrame functions only. Items are counted: few enough window hashes are
 broadcast, more are met by a shuffled join. The texts of documents without a hit
@@ -90,16 +91,22 @@ def hits(docs: DataFrame, items: DataFrame, masks: tuple[str, ...] = MASKS) -> D
 
 
 def best_stretch(penalty: int = PENALTY) -> Column:
-    """The best stretch of `same` (an array of 0 and 1 along a diagonal): matched
-    words, its first and last place, by the running maximum of matches less
-    penalties."""
-    empty = "named_struct('s', 0, 'm', 0, 'a', 0, 'bs', 0, 'bm', 0, 'ba', 0, 'bb', -1, 'i', 0)"
-    # s, m, a: score, matches and begin of the stretch that ends here; b..: of the best
-    go = "IF(t.s > 0, t.s, 0) + IF(x = 1, 1, -{p})".format(p=penalty)
-    step = f"""transform(array(named_struct('s', {go}, 'm', IF(t.s > 0, t.m, 0) + x, 'a', IF(t.s > 0, t.a, t.i))), n -> named_struct(
-        's', n.s, 'm', n.m, 'a', n.a,
-        'bs', IF(n.s > t.bs, n.s, t.bs), 'bm', IF(n.s > t.bs, n.m, t.bm), 'ba', IF(n.s > t.bs, n.a, t.ba), 'bb', IF(n.s > t.bs, t.i, t.bb), 'i', t.i + 1))[0]"""
-    return F.expr(f"aggregate(same, {empty}, (t, x) -> {step}, t -> named_struct('matched', t.bm, 'first', t.ba, 'last', t.bb))")
+    """Of `same` (an array of 0 and 1 along a diagonal) the stretch with the most ones
+    among those with at most one 0 to `penalty` ones: matched words, its first and last
+    place.
+
+    Matches count 1 and substitutions -penalty; a stretch qualifies when its sum isn't
+    negative. For every end the longest one begins where the running sum was first as
+    low: f holds that place, and the matches before it, for each level from 0 down."""
+    s, m = f"t.s + IF(x = 1, 1, -{penalty})", "t.m + x"
+    low = f"IF(-({s}) >= size(t.f), concat(t.f, array_repeat(named_struct('i', t.i + 1, 'm', {m}), -({s}) - size(t.f) + 1)), t.f)"
+    step = f"""transform(array(named_struct('s', {s}, 'm', {m}, 'f', {low})), n -> named_struct('s', n.s, 'm', n.m, 'f', n.f, 'b', n.f[greatest(-n.s, 0)]))[0]"""
+    go = f"""transform(array({step}), n -> named_struct(
+        'i', t.i + 1, 's', n.s, 'm', n.m, 'f', n.f, 'bm', greatest(t.bm, n.m - n.b.m),
+        'ba', IF(n.m - n.b.m > t.bm, n.b.i, t.ba), 'bb', IF(n.m - n.b.m > t.bm, t.i, t.bb)))[0]"""
+    empty = "named_struct('i', 0, 's', 0, 'm', 0, 'f', array(named_struct('i', 0, 'm', 0)), 'bm', 0, 'ba', 0, 'bb', -1)"
+    first = "t.ba + greatest(cast(array_position(slice(same, t.ba + 1, size(same)), 1) as int) - 1, 0)"
+    return F.expr(f"aggregate(same, {empty}, (t, x) -> {go}, t -> named_struct('matched', t.bm, 'first', {first}, 'last', t.bb))")
 
 
 def overlaps(docs: DataFrame, bench: DataFrame, masks: tuple[str, ...] = MASKS, matched: int = MATCHED, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:

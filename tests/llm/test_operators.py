@@ -311,6 +311,28 @@ def test_decontamination(spark):
     assert decontaminate.overlaps(texts_frame(spark, texts), bench.limit(0)).count() == 0
 
 
+def test_all_matches_beside_a_substitution_count(spark):
+    rng = random.Random(9)
+    items = [prose(rng, n) for n in (20, 15, 25)]
+    swap = lambda t, at: " ".join(prose(rng, 1) if i in at else w for i, w in enumerate(t.split()))
+    texts = [swap(items[0], {2, 15}), swap(items[1], {2}), swap(items[2], range(10, 15))]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    out = {(r.doc_id, r.item_id): r.matched for r in decontaminate.overlaps(texts_frame(spark, texts), bench).collect()}
+    assert out == {(0, 0): 18, (1, 1): 14, (2, 2): 20}
+
+
+def test_best_stretch_by_brute_force(spark):
+    rng = random.Random(10)
+    rows = [[int(rng.random() >= p) for _ in range(rng.randint(0, 40))] for p in (0.1, 0.15, 0.2, 0.6) for _ in range(50)]
+    df = spark.createDataFrame(list(enumerate(rows)), "i int, same array<int>")
+    for r in df.select("same", decontaminate.best_stretch().alias("b")).collect():
+        x = r.same
+        assert r.b.matched == max([0, *(sum(x[a:z]) for a in range(len(x)) for z in range(a + 1, len(x) + 1) if 4 * sum(x[a:z]) >= 3 * (z - a))])
+        if r.b.matched:
+            part = x[r.b.first : r.b.last + 1]
+            assert sum(part) == r.b.matched and part[0] == part[-1] == 1 and 4 * sum(part) >= 3 * len(part)
+
+
 def test_wide_benchmarks_are_met_by_a_shuffle(spark, monkeypatch):
     text = prose(random.Random(8), 30)
     bench = spark.createDataFrame([(1, text)], "item_id long, text string")
