@@ -2,9 +2,11 @@
 
 Random strings take far more tokens than words: under a byte-pair vocabulary prose
 has some four characters to a token, a random key less than two. Candidates are
-long runs of key characters; known digests, UUIDs, numbers and identifiers (words
-joined by case, dash or underscore) are set aside, and those with few characters
-to a token become spans of kind `random`, beside those of the fixed patterns.
+long runs of key characters; known digests, UUIDs, numbers and what splits into
+words (by case, dash, underscore or slash) are set aside, and those with few
+characters to a token become spans of kind `random`, beside those of the fixed
+patterns. Where a run as a whole doesn't, its densest stretches are tried, so that a
+path before a key doesn't hide it.
 
 Defined results: null and empty texts have no spans; positions are code points,
 ends exclusive; spans that are equal to or within one of the fixed patterns' are
@@ -33,8 +35,10 @@ MAX_CHARS_PER_TOKEN = 2.0
 _UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
 _DIGEST_LENGTHS = frozenset((32, 40, 56, 64, 96, 128))
 _HEX_ANY = re.compile(r"[0-9a-fA-F]+")
-#: Words of letters, or a number, joined by dashes, underscores or slashes.
-_IDENTIFIER = re.compile(r"[/_=+-]*(?:[A-Za-z]+\d{0,4}|\d+)(?:[/_=+-]+(?:[A-Za-z]+\d{0,4}|\d+))*[/_=+-]*")
+_WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
+_SET_ASIDE = re.compile(rf"(?<![A-Za-z0-9])(?:{_UUID.pattern}|[0-9a-fA-F]+)(?![A-Za-z0-9])")
+_SEPARATORS = "/_=+-"
+SHORTEST = 20
 
 
 def default_vocabulary() -> str:
@@ -53,15 +57,16 @@ def encoder(path: str):
     return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def known(run: str) -> bool:
-    """Digests, UUIDs, numbers and identifiers."""
+def known(run: str, tokens, most: float = MAX_CHARS_PER_TOKEN) -> bool:
+    """Digests, UUIDs, numbers and words however joined."""
     if _HEX_ANY.fullmatch(run) and len(run) in _DIGEST_LENGTHS or _UUID.fullmatch(run):
         return True
-    letters, digits = sum(c.isalpha() for c in run), sum(c.isdigit() for c in run)
-    if not letters or not digits:
-        # words however joined or cased; without a digit nothing speaks for chance
+    if not any(c.isalpha() for c in run) or not any(c.isdigit() for c in run):
         return True
-    return bool(_IDENTIFIER.fullmatch(run)) and digits <= 4
+    if sum(c.isdigit() for c in run) > 4:
+        return False
+    words = [w.lower() for w in _WORDS.findall(run)]
+    return sum(map(len, words)) > most * sum(len(tokens.encode_ordinary(w)) for w in words)
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -73,16 +78,66 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(found, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
+def dense_stretches(run: str, tokens, most: float = MAX_CHARS_PER_TOKEN) -> list[tuple[int, int]]:
+    """Stretches of a run with few characters to a token: those of the best sum when a
+    token counts `most` less its characters, then those on either side of them."""
+    lengths = [len(tokens.decode_single_token_bytes(t)) for t in tokens.encode_ordinary(run)]
+    at = [0]
+    for n in lengths:
+        at.append(at[-1] + n)
+    out, todo = [], [(0, len(lengths))]
+    while todo:
+        lo, hi = todo.pop()
+        if at[hi] - at[lo] < SHORTEST:
+            continue
+        total, begin, best, a, z = 0.0, lo, 0.0, lo, lo
+        for i in range(lo, hi):
+            if total <= 0:
+                total, begin = 0.0, i
+            total += most - lengths[i]
+            if total > best:
+                best, a, z = total, begin, i + 1
+        if best <= 0:
+            continue
+        todo += [(lo, a), (z, hi)]
+        # to the borders of the pieces it lies in, where that stays dense
+        s, e = at[a], at[z]
+        while s < e and run[s] in _SEPARATORS:
+            s += 1
+        left = max(run.rfind(c, at[lo], s) for c in _SEPARATORS) + 1
+        right = min([p for c in _SEPARATORS if (p := run.find(c, e, at[hi])) >= 0], default=at[hi])
+        for x, y in ((max(left, at[lo]), right), (max(left, at[lo]), e), (s, right), (s, e)):
+            piece = run[x:y]
+            x, y = x + len(piece) - len(piece.lstrip(_SEPARATORS)), y - (len(piece) - len(piece.rstrip("/_+-")))
+            if y - x >= SHORTEST and y - x <= most * len(tokens.encode_ordinary(run[x:y])):
+                if not known(run[x:y].strip(_SEPARATORS), tokens, most):
+                    out.append((x, y))
+                break
+    return sorted(out)
+
+
 def random_spans(text: str, base: list[tuple[int, int, str]], tokens, most: float = MAX_CHARS_PER_TOKEN) -> list[tuple[int, int, str]]:
     found = []
     for m in CANDIDATE.finditer(text):
-        run = m[0].strip("/_=+-")
-        if len(run) < 20 or known(run):
+        run = m[0].strip(_SEPARATORS)
+        if len(run) < SHORTEST or known(run, tokens, most) and _SET_ASIDE.fullmatch(run):
             continue
         if any(a <= m.start() and m.end() <= b for a, b, _ in base):
             continue
-        if len(m[0]) <= most * len(tokens.encode_ordinary(m[0])):
+        # digests and UUIDs within a run part it
+        cuts, begin = [], 0
+        for k in _SET_ASIDE.finditer(m[0]):
+            if known(k[0], tokens, most) and not k[0].isdigit() and len(k[0]) >= SHORTEST:
+                cuts.append((begin, k.start()))
+                begin = k.end()
+        if not cuts and not known(run, tokens, most) and len(m[0]) <= most * len(tokens.encode_ordinary(m[0])):
             found.append((m.start(), m.end(), "random"))
+            continue
+        for a, b in [*cuts, (begin, len(m[0]))]:
+            for x, y in dense_stretches(m[0][a:b], tokens, most):
+                x, y = m.start() + a + x, m.start() + a + y
+                if not any(p <= x and y <= q for p, q, _ in base):
+                    found.append((x, y, "random"))
     return found
 
 

@@ -212,6 +212,25 @@ def test_secrets(spark):
     assert secrets.secret_digest(empty(spark)).count() == 0
 
 
+def _random_share(make, n=200):
+    tokens, rng, hit = secrets.encoder(secrets.default_vocabulary()), random.Random(4), 0
+    for _ in range(n):
+        before, key = make(rng)
+        spans = secrets.random_spans(f"see {before}{key} here", [], tokens)
+        a = 4 + len(before)
+        # most of the key is covered
+        hit += any(min(y, a + len(key)) - max(x, a) >= 0.8 * len(key) for x, y, _ in spans)
+    return hit / n
+
+
+ALNUM = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+
+
+@pytest.mark.parametrize("path", ["services/internal/production/config/", "/var/lib/application/storage/customers/documents/", "callback/session/identifier/"])
+def test_keys_behind_a_path(path):
+    assert _random_share(lambda rng: (path, "".join(rng.choices(ALNUM, k=24)))) >= 0.95
+
+
 # ----------------------------------------------------------------- toxicity
 
 
