@@ -61,7 +61,7 @@ def known(run: str, tokens, most: float = MAX_CHARS_PER_TOKEN) -> bool:
     """Digests, UUIDs, numbers and words however joined."""
     if _HEX_ANY.fullmatch(run) and len(run) in _DIGEST_LENGTHS or _UUID.fullmatch(run):
         return True
-    if not any(c.isalpha() for c in run) or not any(c.isdigit() for c in run):
+    if not any(c.isalpha() for c in run):
         return True
     if sum(c.isdigit() for c in run) > 4:
         return False

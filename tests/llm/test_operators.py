@@ -231,6 +231,15 @@ def test_keys_behind_a_path(path):
     assert _random_share(lambda rng: (path, "".join(rng.choices(ALNUM, k=24)))) >= 0.95
 
 
+@pytest.mark.parametrize("n", [20, 32])
+def test_keys_of_letters(n):
+    assert _random_share(lambda rng: ("", "".join(rng.choices(ALNUM[:52], k=n)))) >= 0.95
+    assert _random_share(lambda rng: ("", "".join(rng.choices(ALNUM[26:52], k=n)))) >= 0.9
+    tokens = secrets.encoder(secrets.default_vocabulary())
+    for words in ("services/internal/production/config/documents", "INTERNATIONALIZATION_SETTINGS", "getDefaultApplicationContextFactory", "/users/1b4e28ba-2fa1-11d2-883f-0016d3cca427/documents"):
+        assert secrets.random_spans(words, [], tokens) == []
+
+
 # ----------------------------------------------------------------- toxicity
 
 
