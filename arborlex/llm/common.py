@@ -13,7 +13,10 @@ from pyspark.sql import functions as F
 
 from arborlex.operators.storage import BROADCAST_ROWS, cut, fits_broadcast, narrow_join, new_path, shared_dir
 
-__all__ = ["BROADCAST_ROWS", "WORD", "chunks", "cut", "fits_broadcast", "global_order", "mix", "narrow_join", "new_path", "shared_dir", "slices", "token_hashes", "union_all", "windows"]
+__all__ = [
+    "BROADCAST_ROWS", "WORD", "block_count", "by_block", "chunks", "cut", "dealt", "fits_broadcast", "global_order", "mix", "narrow_join", "new_path", "numbered",
+    "pack", "renamed", "shared_dir", "slices", "token_hashes", "union_all", "unpack", "unused", "windows",
+]
 
 #: Words are maximal runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -120,6 +123,95 @@ def slices(column) -> list[memoryview]:
     return [view[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
 
 
+# --------------------------------------------------------------- packed tables
+
+
+def pack(columns: list[np.ndarray], widths: list[int]) -> bytes:
+    """Integer columns in so many low bytes a value, byte by byte: equal high bytes
+    lie side by side and vanish when compressed."""
+    n = len(columns[0])
+    parts = [c.astype("<i8").view(np.uint8).reshape(n, 8)[:, :w].T.tobytes() for c, w in zip(columns, widths, strict=True)]
+    return b"".join([np.int64(n).tobytes(), *parts])
+
+
+def unpack(parts: list, widths: list[int]) -> list[np.ndarray]:
+    """The columns of all parts, as 64-bit integers (of fewer bytes: not negative)."""
+    sizes = [int(np.frombuffer(p, "<i8", 1)[0]) for p in parts]
+    out = []
+    for k, w in enumerate(widths):
+        column = np.zeros((sum(sizes), 8), np.uint8)
+        row = 0
+        for p, n in zip(parts, sizes, strict=True):
+            column[row : row + n, :w] = np.frombuffer(p, np.uint8, n * w, 8 + n * sum(widths[:k])).reshape(w, n).T
+            row += n
+        out.append(column.view("<i8")[:, 0])
+    return out
+
+
+def dealt(key: np.ndarray, columns: list[np.ndarray], widths: list[int]) -> tuple[np.ndarray, list[bytes]]:
+    """(keys, packed columns of each key), rows of a key in the order they came."""
+    order = np.argsort(key, kind="stable")
+    key, columns = key[order], [c[order] for c in columns]
+    edges = np.concatenate([[0], np.flatnonzero(np.diff(key)) + 1, [len(key)]]) if len(key) else np.zeros(1, np.int64)
+    return key[edges[:-1]], [pack([c[a:b] for c in columns], widths) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+
+
+def by_block(batches, key: str = "block", data: str = "data"):
+    """(block, its packed data) from Arrow batches sorted by block."""
+    at, parts = None, []
+    for batch in batches:
+        for block, part in zip(batch.column(key).to_pylist(), batch.column(data).to_pylist(), strict=True):
+            if block != at and parts:
+                yield at, parts
+                parts = []
+            at = block
+            parts.append(part)
+    if parts:
+        yield at, parts
+
+
+def block_count(spark, entries: int, each: int = 1_500_000) -> int:
+    """Blocks of about `each` entries, and as many as there are shuffle partitions."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-entries // each))
+
+
+# --------------------------------------------------------------- names and keys
+
+
+def unused(taken, *names: str) -> list[str]:
+    """Column names like these that `taken` doesn't hold, whatever the letters' case."""
+    have = {c.lower() for c in taken}
+    out = []
+    for name in names:
+        while name.lower() in have:
+            name = "_" + name
+        have.add(name.lower())
+        out.append(name)
+    return out
+
+
+def numbered(docs: DataFrame, key: str) -> tuple[DataFrame, DataFrame | None]:
+    """(_n, the key as a whole number, and all columns; the names of the numbers).
+    Numeric keys are their own numbers; of other keys, the place in their order."""
+    n = unused(docs.columns, "_n")[0]
+    if docs.schema[key].dataType.typeName() in ("byte", "short", "integer", "long"):
+        return docs.withColumn(n, F.col(key).cast("long")), None
+    names = cut(global_order(docs.where(F.col(key).isNotNull()).select(F.col(key).alias("_name")).distinct(), [F.col("_name")], {}, "names"), "names")
+    both = narrow_join(docs, names.select("_name", F.col("_row").alias(n)), docs[key] == F.col("_name"), "left")
+    return both.select(*docs.columns, n), names
+
+
+def renamed(out: DataFrame, names: DataFrame | None, *columns: str) -> DataFrame:
+    """out with the numbers in these columns turned back into keys."""
+    if names is None:
+        return out
+    for c in columns:
+        key = names.select(F.col("_row").alias("_to"), F.col("_name").alias("_key"))
+        rest = [F.col("_key").alias(c) if k == c else F.col(k) for k in out.columns]
+        out = narrow_join(out, key, out[c] == key["_to"], "left").select(*rest)
+    return out
+
+
 def chunks(texts: list, chars: int = 300_000):
     """(from, to) ranges over texts with about so many characters each, so that the
     tokenizer's arrays stay small however the rows come in."""
