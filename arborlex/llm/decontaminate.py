@@ -28,7 +28,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arborlex.llm.common import cut, fits_broadcast, narrow_join
+from arborlex.llm.common import cut, fits_broadcast, narrow_join, unused
 
 MASKS = ("111111", "1110111", "11011011", "11100111")
 SHORTEST = 6
@@ -136,5 +136,6 @@ def overlaps(docs: DataFrame, bench: DataFrame, masks: tuple[str, ...] = MASKS,
 
 def drop_contaminated(docs: DataFrame, bench: DataFrame, key: str = "doc_id", **options) -> DataFrame:
     """The documents that no item contaminates, as they came."""
-    bad = cut(overlaps(docs, bench, key=key, **options).select(F.col("doc_id").alias("_bad")).distinct(), "bad")
-    return narrow_join(docs, bad, docs[key].eqNullSafe(F.col("_bad")), "left_anti")
+    id_ = unused(docs.columns, "_bad")[0]
+    bad = cut(overlaps(docs, bench, key=key, **options).select(F.col("doc_id").alias(id_)).distinct(), "bad")
+    return narrow_join(docs, bad, F.col(f"`{key}`").eqNullSafe(F.col(id_)), "left_anti")

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arborlex.llm.common import chunks, cut, fits_broadcast, mix, narrow_join, slices, token_hashes, windows
+from arborlex.llm.common import chunks, cut, fits_broadcast, mix, narrow_join, slices, token_hashes, unused, windows
 from arborlex.llm.components import components
 
 WORDS = 5
@@ -440,13 +440,14 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", **opti
     found = cut(similar_components(docs, key=key, text=text, with_class=True, **options), "found")
     own = F.col("doc_id").eqNullSafe(F.col("component_id"))
     by_id = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("c"), F.max(own).alias("stays"))
-    gone = cut(by_id.where("not stays or c > 1").select(F.col("doc_id").alias("_id"), (F.col("c") > 1).alias("_again")), "gone")
-    same = docs[key].eqNullSafe(F.col("_id"))
-    kept = narrow_join(docs, gone, same, "left_anti")
-    again = gone.where("_again")
+    id_, fp, class_ = unused(docs.columns, "_id", "_fp", "_class")
+    gone = cut(by_id.where("not stays or c > 1").select(F.col("doc_id").alias(id_), (F.col("c") > 1).alias("again")), "gone")
+    same = F.col(f"`{key}`").eqNullSafe(F.col(id_))
+    kept = narrow_join(docs, gone.select(id_), same, "left_anti")
+    again = gone.where("again").select(id_)
     if again.isEmpty():
         return kept
-    stay = found.where(own).select(F.col("doc_id").alias("_id"), F.col("fp").alias("_fp")).join(again.select(F.col("_id").alias("_i")), F.col("_id").eqNullSafe(F.col("_i")), "left_semi").distinct()
-    rows = narrow_join(docs, again, same, "left_semi").withColumn("_class", class_column(text))
-    rows = narrow_join(rows, cut(stay, "stay"), same & (F.col("_class") == F.col("_fp")), "left_semi")
-    return kept.unionByName(rows.dropDuplicates([key, "_class"]).drop("_class"))
+    stay = found.where(own).select(F.col("doc_id").alias(id_), F.col("fp").alias(fp)).join(again.select(F.col(id_).alias("_i")), F.col(id_).eqNullSafe(F.col("_i")), "left_semi").distinct()
+    rows = narrow_join(docs, again, same, "left_semi").withColumn(class_, class_column(text))
+    rows = narrow_join(rows, cut(stay, "stay"), same & (F.col(class_) == F.col(fp)), "left_semi")
+    return kept.unionByName(rows.dropDuplicates([key, class_]).drop(class_))

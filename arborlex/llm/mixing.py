@@ -14,7 +14,8 @@ Randomness is a hash of the seed and the documents met: reruns agree.
 Defined results: null and wordless texts have size 0 and are taken 0 words; a
 source without words has target 0; null sources are one source, last in order;
 repeated rows are told apart by a running number and may be taken differently
-often; an empty table gives an empty table; null ids are allowed.
+often; an empty table gives an empty table; null ids are allowed; ids may be of any
+type that has an order; all columns are kept by `mix_documents`.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from arborlex.llm.common import WORD, cut, global_order, narrow_join, union_all
+from arborlex.llm.common import WORD, cut, global_order, narrow_join, numbered, renamed, union_all, unused
 
 FAN = 128
 MOST = 3
@@ -125,18 +126,24 @@ def sized(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str
     return docs.select(F.col(key).alias("doc_id"), F.xxhash64(body, F.coalesce(F.concat(F.lit("="), F.col(source)), F.lit(""))).alias("tie"), F.regexp_count(body, F.lit(WORD)).cast("long").alias("size"), F.col(source).alias("source"))
 
 
-def mix_digest(docs: DataFrame, **options) -> DataFrame:
+def mix_digest(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
     """doc_id, size, source_size, target, taken for every row."""
-    m = mix_sizes(sized(docs), **options)
-    return m.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"), "source", "copies")
+    rows, names = numbered(docs.select(*dict.fromkeys((key, text, source))), key)
+    m = mix_sizes(sized(rows, rows.columns[-1], text, source), **options)
+    out = m.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"), "source", "copies")
+    return renamed(out, names, "doc_id")
 
 
 def mix_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
     """The mix itself: every row as often as it is taken (0 to 3 times), with the
     columns it came with. Rows equal in key, text and source share their number of
     copies by a running number within such a group."""
-    copies = mix_sizes(sized(docs, key, text, source), **options).select(F.col("doc_id").alias("_k"), F.col("tie").alias("_t"), F.col("copy").alias("_c"), F.col("copies").alias("_copies")).where("_copies > 0")
-    tie = F.xxhash64(F.coalesce(F.col(text), F.lit("")), F.coalesce(F.concat(F.lit("="), F.col(source)), F.lit("")))
-    rows = docs.withColumns({"_rk": F.col(key), "_rt": tie}).withColumn("_rc", F.row_number().over(W.partitionBy("_rk", "_rt").orderBy(F.lit(0))))
-    on = rows._rk.eqNullSafe(copies._k) & (rows._rt == copies._t) & (rows._rc == copies._c)
-    return rows.join(copies, on).withColumn("_again", F.explode(F.sequence(F.lit(1), "_copies"))).select(*docs.columns)
+    rows, _ = numbered(docs, key)
+    number = rows.columns[-1]
+    tie, copy, again = unused(rows.columns, "_tie", "_copy", "_again")
+    copies = mix_sizes(sized(rows, number, text, source), **options).where("copies > 0").select(F.col("doc_id").alias("k"), F.col("tie").alias("t"), F.col("copy").alias("c"), F.col("copies").alias("times"))
+    mark = F.xxhash64(F.coalesce(F.col(text), F.lit("")), F.coalesce(F.concat(F.lit("="), F.col(source)), F.lit("")))
+    rows = rows.withColumn(tie, mark).withColumn(copy, F.row_number().over(W.partitionBy(number, tie).orderBy(F.lit(0)))).alias("l")
+    left = lambda c: F.col(f"l.{c}")
+    joined = rows.join(copies.alias("r"), left(number).eqNullSafe(F.col("r.k")) & (left(tie) == F.col("r.t")) & (left(copy) == F.col("r.c")))
+    return joined.select(*(F.col(f"l.`{c}`") for c in docs.columns), F.explode(F.sequence(F.lit(1), "r.times")).alias(again)).drop(again)

@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arborlex.llm.common import cut, narrow_join
+from arborlex.llm.common import cut, narrow_join, unused
 
 SAMPLE = 20_000
 THRESHOLD = 0.5
@@ -76,9 +76,11 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int
     """Weights of the features, of their squares, and the bias."""
     own = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull() & ~held_out(key)).groupBy(key).agg(F.min(label).cast("int").alias("_y"))
     own = own.orderBy(F.xxhash64(key), key).limit(sample).withColumnRenamed(key, "_key")
-    # at most `sample` rows, here and on the driver
-    counts = text_counts(text)
-    rows = docs.join(F.broadcast(own), docs[key] == F.col("_key")).select("_y", *(c.alias(f"f_{k}") for k, c in counts.items())).toPandas()
+    counts = text_counts("_text")
+    rows = docs.select(F.col(key).alias("_id"), F.col(text).alias("_text")).join(F.broadcast(own), F.col("_id") == F.col("_key"))
+    rows = rows.select("_key", F.struct("_y", *(c.alias(f"f_{k}") for k, c in counts.items())).alias("r"))
+    # one row for each id: at most `sample`, here and on the driver
+    rows = rows.groupBy("_key").agg(F.min("r").alias("r")).select("r.*").toPandas()
     y = (rows["_y"].to_numpy() > 0).astype(float)
     if not len(y) or y.min() == y.max():
         bias = math.log((y.sum() + 1) / (len(y) - y.sum() + 1))
@@ -135,6 +137,6 @@ def score_quality(docs: DataFrame, labels: DataFrame, host: str = "source", path
 def keep_good(docs: DataFrame, labels: DataFrame, key: str = "doc_id", **options) -> DataFrame:
     """The rows with an id that is to be kept (rows that repeat an id go together,
     and stay if one of them is to be kept)."""
-    gone = score_quality(docs, labels, key=key, **options).groupBy("doc_id").agg(F.max("keep").alias("k")).where("not k").select(F.col("doc_id").alias("_gone"))
-    gone = cut(gone, "gone")
-    return narrow_join(docs, gone, docs[key].eqNullSafe(F.col("_gone")), "left_anti")
+    id_ = unused(docs.columns, "_gone")[0]
+    gone = score_quality(docs, labels, key=key, **options).groupBy("doc_id").agg(F.max("keep").alias("k")).where("not k").select(F.col("doc_id").alias(id_))
+    return narrow_join(docs, cut(gone, "gone"), F.col(f"`{key}`").eqNullSafe(F.col(id_)), "left_anti")

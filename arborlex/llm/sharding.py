@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arborlex.llm.common import global_order
+from arborlex.llm.common import global_order, unused
 
 SHARDS = 16
 
@@ -61,18 +61,13 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, key: str = "doc_id",
     from pyspark.sql import Window as W
 
     order = ["doc_id", "size", "text_crc32", "_tie"]
-    places = place(digest(docs, key, text), order, shards).select(*(F.col(c).alias(f"_k_{c}") for c in order), "shard", "slot")
+    rows = docs.drop("shard", "slot")
+    mine, copy = unused(rows.columns, "_mine", "_copy")
     body = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.drop("shard", "slot").withColumns({
-        "_k_doc_id": F.col(key), "_k_size": (F.octet_length(body) + 1).cast("long"),
-        "_k_text_crc32": F.crc32(body.cast("binary")).cast("long"), "_k__tie": F.xxhash64(body),
-    })
-    keys = [f"_k_{c}" for c in order]
-    number = lambda df, *by: df.withColumn("_copy", F.row_number().over(W.partitionBy(*keys).orderBy(*by)))
-    left, right = number(rows, F.lit(0)).alias("l"), number(places, "slot").alias("r")
-    same = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in [*keys, "_copy"]]
-    joined = left
-    cond = same[0]
-    for c in same[1:]:
-        cond = cond & c
-    return joined.join(right, cond).select("l.*", "r.shard", "r.slot").drop(*keys, "_copy")
+    digests = (F.col(key), (F.octet_length(body) + 1).cast("long"), F.crc32(body.cast("binary")).cast("long"), F.xxhash64(body))
+    rows = rows.withColumn(mine, F.struct(*(c.alias(n) for n, c in zip(order, digests, strict=True))))
+    rows = rows.withColumn(copy, F.row_number().over(W.partitionBy(mine).orderBy(F.lit(0))))
+    places = place(digest(docs, key, text), order, shards).select(F.struct(*order).alias("theirs"), "shard", "slot")
+    places = places.withColumn("copy", F.row_number().over(W.partitionBy("theirs").orderBy("slot")))
+    left, right = rows.alias("l"), places.alias("r")
+    return left.join(right, F.col(f"l.{mine}").eqNullSafe(F.col("r.theirs")) & (F.col(f"l.{copy}") == F.col("r.copy"))).select("l.*", "r.shard", "r.slot").drop(mine, copy)

@@ -1,12 +1,14 @@
 """Toxicity by a weighted finite-state pattern grammar (op5).
 
-Words become classes (insult, threat, target, negation, reporting verb, other).
-Three small transducers read a clause's classes and rewrite insults and threats:
-one marks those under a negation, one those within reported speech, one those near
-a target. They are composed once into a single table; a clause's matches, weighted
-by the lexicon, add up by outcome (plain, targeted, negated, reported), and a
-logistic layer over these sums gives the score. So a match counts for what its
-clause makes of it, and how much each outcome counts is learned, not assumed.
+Words become classes (abusive, violent, intent, target, negation, reporting verb,
+other). Five small transducers read a clause's classes, each the output of the one
+before: insults (an abusive word, or one that follows another closely), threats (a
+violent word, or one under an intent), negation, reported speech and targets. They are
+composed once into a single table. Targets also count when they follow ("kill you"):
+the same transducer reads the marked clause once more from its end. A clause's matches,
+weighted by the lexicon, add up by kind and outcome (plain, targeted, negated,
+reported), and a logistic layer over these sums gives the score. So a match counts for
+what its clause makes of it, and how much each outcome counts is learned, not assumed.
 
 What is learned comes from labelled rows whose crc32(doc_id as text) mod 4 is not
 2, at most SAMPLE of them (those with the smallest hashes), each text once: the
@@ -15,7 +17,7 @@ L1-penalised logistic regression on document occurrence) and the logistic layer.
 Scores read the text alone, all of it.
 
 Defined results: null and empty texts get the score of a text without matches;
-equal texts get equal scores; rows with a null id are not held out; with no
+equal texts get equal scores; of a labelled id that repeats, one text teaches; rows with a null id are not held out; with no
 labelled rows, or none of one class, every score is the smoothed rate; other
 columns are kept and not read.
 """
@@ -33,7 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arborlex.llm.common import cut
+from arborlex.llm.common import cut, unused
 
 SAMPLE = 20_000
 THRESHOLD = 0.3
@@ -44,6 +46,7 @@ _CLAUSE = re.compile(r"[.!?;\n]+(?:\s|$)|\n")
 
 # Small closed classes of the four languages of the corpus.
 THREAT = frozenset("kill hurt destroy punch strangle töten schlagen umbringen vernichten tuer frapper détruire matar golpear destruir".split())
+INTENT = frozenset("will shall gonna going want must should werde werden will sollen müssen vais va allons veux doit faut voy va vamos quiero debe".split())
 TARGET = frozenset("you your yours he she they them him her du dich dir ihr euch sie er tu te toi vous ton votre il ils elle elles usted ustedes tú ti vosotros él ella ellos".split())
 NEGATION = frozenset("not no never nobody neither without isn aren wasn don doesn nicht kein keine keinen nie niemals ne pas jamais sans nunca jamás sin ni".split())
 REPORT = frozenset("said says saying quoted quote wrote writes reported claimed alleged called sagte sagt schrieb behauptete zitierte dit disait écrivait cita dijo dice escribió afirmó citó".split())
@@ -61,41 +64,58 @@ class Fst(NamedTuple):
     def symbols(self) -> set[str]:
         return {s for _, s in self.arcs}
 
+    def outputs(self) -> set[str]:
+        return {o for _, o in self.arcs.values()}
 
-_INPUT = ("o", "i", "h", "t", "n", "r")
+    def read(self, symbols: list[str]) -> list[str]:
+        state, out = self.start, []
+        for s in symbols:
+            state, o = self.arcs[state, s]
+            out.append(o)
+        return out
 
 
-def _matches(symbols) -> list[str]:
-    return [s for s in symbols if s[0] in "ihIH"]
+#: Word classes: other, abusive (i), violent (h), intent (w), target, negation, reporting.
+_INPUT = frozenset("oihwtnr")
+#: Rewritten: insult, insult upon insult, violence, violence that is intended; in
+#: upper case with a target.
+_MATCH = "ijhkIJHK"
 
 
-def negation_fst(reach: int = 3) -> Fst:
-    """Marks insults and threats up to `reach` words after a negation with '-'."""
+def _marker(symbols: frozenset[str] | set[str], trigger: str, reach: int, matches: str, mark) -> Fst:
+    """Rewrites matches up to `reach` words after a trigger (0: to the clause's end)."""
     arcs = {}
-    for state in range(reach + 1):
-        for s in _INPUT:
-            out = s + "-" if state and s in "ih" else s
-            arcs[state, s] = (reach if s == "n" else max(0, state - 1), out)
+    for state in range(max(1, reach) + 1):
+        for s in symbols:
+            to = max(1, reach) if s[0] == trigger else state if not reach else max(0, state - 1)
+            arcs[state, s] = (to, mark(s) if state and s[0] in matches else s)
     return Fst(0, arcs)
 
 
-def report_fst(symbols: set[str]) -> Fst:
-    """Marks what follows a reporting verb in the clause with a quote."""
-    arcs = {}
-    for state in (0, 1):
-        for s in symbols:
-            arcs[state, s] = (1 if s == "r" else state, s + '"' if state and s[0] in "ih" else s)
-    return Fst(0, arcs)
+def insult_fst(symbols=_INPUT, reach: int = 3) -> Fst:
+    """Abusive words are insults (i); those up to `reach` words after another, insult
+    upon insult (j)."""
+    return _marker(symbols, "i", reach, "i", lambda s: "j")
 
 
-def target_fst(symbols: set[str], reach: int = 4) -> Fst:
-    """Raises insults and threats up to `reach` words after a target to upper case."""
-    arcs = {}
-    for state in range(reach + 1):
-        for s in symbols:
-            out = s.upper() if state and s[0] in "ih" else s
-            arcs[state, s] = (reach if s == "t" else max(0, state - 1), out)
-    return Fst(0, arcs)
+def threat_fst(symbols, reach: int = 4) -> Fst:
+    """Violent words up to `reach` words after an intent are threats (k)."""
+    return _marker(symbols, "w", reach, "h", lambda s: "k")
+
+
+def negation_fst(symbols, reach: int = 3) -> Fst:
+    """Marks matches up to `reach` words after a negation with '-'."""
+    return _marker(symbols, "n", reach, _MATCH, lambda s: s + "-")
+
+
+def report_fst(symbols) -> Fst:
+    """Marks matches after a reporting verb of the clause with a quote."""
+    return _marker(symbols, "r", 0, _MATCH, lambda s: s + '"')
+
+
+def target_fst(symbols, reach: int = 4) -> Fst:
+    """Raises matches up to `reach` words after a target to upper case."""
+    return _marker(symbols, "t", reach, _MATCH, str.upper)
 
 
 def compose(a: Fst, b: Fst) -> Fst:
@@ -114,21 +134,33 @@ def compose(a: Fst, b: Fst) -> Fst:
 
 
 def grammar() -> Fst:
-    neg = negation_fst()
-    said = compose(neg, report_fst({o for _, o in neg.arcs.values()}))
-    return compose(said, target_fst({o for _, o in said.arcs.values()}))
+    """All five, composed."""
+    whole = insult_fst()
+    for part in (threat_fst, negation_fst, report_fst, target_fst):
+        whole = compose(whole, part(whole.outputs()))
+    return whole
 
 
-OUTCOMES = ("plain", "targeted", "negated", "reported", "threat", "clauses", "strongest", "share")
+_KINDS = ("insult", "threat")
+_OUTCOMES = ("plain", "targeted", "negated", "reported")
+OUTCOMES = (*(f"{k}, {o}" for k in _KINDS for o in _OUTCOMES), "stacked", "intended", "clauses", "strongest", "share")
 
 
 def outcome(symbol: str) -> int:
     """Which sum a rewritten match belongs to: reported before negated before targeted."""
-    if '"' in symbol:
-        return 3
-    if "-" in symbol:
-        return 2
-    return 1 if symbol[0].isupper() else 0
+    o = 3 if '"' in symbol else 2 if "-" in symbol else 1 if symbol[0].isupper() else 0
+    return o + (len(_OUTCOMES) if symbol[0] in "hkHK" else 0)
+
+
+def read_clause(tokens: list[str], insult, forth: Fst, back: Fst) -> list[tuple[str, float]]:
+    """(rewritten symbol, weight) of the clause's matches, last first."""
+    classes, weights = [], []
+    for w in tokens:
+        weight = insult(w)
+        classes.append("i" if weight > 0 else "h" if w in THREAT else "n" if w in NEGATION else "r" if w in REPORT else "t" if w in TARGET else "w" if w in INTENT else "o")
+        weights.append(weight if weight > 0 else 1.0)
+    read = back.read(forth.read(classes)[::-1])
+    return [(s, w) for s, w in zip(read, weights[::-1], strict=True) if s[0] in _MATCH]
 
 
 class Model(NamedTuple):
@@ -144,7 +176,8 @@ class Scorer:
     def __init__(self, model: Model) -> None:
         import ahocorasick
 
-        self.model, self.table = model, grammar().arcs
+        self.model, self.forth = model, grammar()
+        self.back = target_fst(self.forth.outputs())
         self.find = ahocorasick.Automaton()
         for w in {*model.words, *model.stems, *THREAT}:
             self.find.add_word(w, w)
@@ -171,28 +204,17 @@ class Scorer:
             words += len(tokens)
             if next(self.find.iter(clause), None) is None:
                 continue
-            state, strength = 0, 0.0
-            for w in tokens:
-                weight, kind = self.insult(w), "o"
-                if weight > 0:
-                    kind = "i"
-                elif w in THREAT:
-                    kind, weight = "h", 1.0
-                elif w in NEGATION:
-                    kind = "n"
-                elif w in REPORT:
-                    kind = "r"
-                elif w in TARGET:
-                    kind = "t"
-                state, symbol = self.table[state, kind]
-                if kind == "i" or kind == "h":
-                    out[4 if kind == "h" else outcome(symbol)] += weight
-                    strength += weight
+            strength = 0.0
+            for symbol, weight in read_clause(tokens, self.insult, self.forth, self.back):
+                out[outcome(symbol)] += weight
+                out[8] += weight * (symbol[0] in "jJ")
+                out[9] += weight * (symbol[0] in "kK")
+                strength += weight
             if strength:
-                out[5] += 1
-                out[6] = max(out[6], strength)
-        out[7] = 10 * out[:4].sum() / max(words, 1)
-        out[:7] = np.log1p(out[:7])
+                out[10] += 1
+                out[11] = max(out[11], strength)
+        out[12] = 10 * out[:4].sum() / max(words, 1)
+        out[:12] = np.log1p(out[:12])
         return out
 
     def score(self, text: str | None) -> float:
@@ -214,8 +236,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str = "toxic", sa
     text once. An id labelled more than once counts with its largest label."""
     own = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull() & ~held_out(key)).groupBy(key).agg(F.max(label).cast("int").alias("_y"))
     own = own.orderBy(F.xxhash64(key), key).limit(sample).withColumnRenamed(key, "_key")
-    # at most `sample` rows
-    rows = docs.join(F.broadcast(own), docs[key] == F.col("_key")).select(F.coalesce(F.col(text), F.lit("")).alias("_text"), "_y")
+    rows = docs.select(F.col(key).alias("_id"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    # at most `sample` ids, and of each the one text that is largest by hash
+    rows = rows.join(F.broadcast(own), F.col("_id") == F.col("_key")).groupBy("_key").agg(F.max_by(F.struct("_text", "_y"), F.xxhash64("_text")).alias("r")).select("r.*")
     return rows.groupBy(F.xxhash64("_text").alias("_h")).agg(F.max(F.struct("_y", "_text")).alias("r")).select("r._y", "r._text")
 
 
@@ -331,4 +354,5 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold
 def reject_toxic(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:
     """The rows whose score is below the threshold, as they came."""
     model = fit(docs, labels, sample=sample)
-    return docs.withColumn("_toxic_score", score_column(model)).where(F.col("_toxic_score") < threshold).drop("_toxic_score")
+    score = unused(docs.columns, "_toxic_score")[0]
+    return docs.withColumn(score, score_column(model)).where(F.col(score) < threshold).drop(score)

@@ -259,6 +259,32 @@ def test_grammar():
     assert read("tnri")[-1].startswith("I") and toxicity.outcome(read("tnri")[-1]) == 3
 
 
+def test_clauses_by_brute_force():
+    forth = toxicity.grammar()
+    back = toxicity.target_fst(forth.outputs())
+    rng = random.Random(5)
+    for _ in range(400):
+        kinds = [rng.choice("ooooihwtnr") for _ in range(rng.randint(0, 14))]
+        got = back.read(forth.read(kinds)[::-1])[::-1]
+        for i, (k, symbol) in enumerate(zip(kinds, got, strict=True)):
+            if k not in "ih":
+                assert symbol == k
+                continue
+            near = lambda c, n: c in kinds[max(0, i - n) : i]  # noqa: B023, E731
+            letter = {"i": "j" if near("i", 3) else "i", "h": "k" if near("w", 4) else "h"}[k]
+            letter = letter.upper() if near("t", 4) or "t" in kinds[i + 1 : i + 5] else letter
+            assert symbol == letter + "-" * near("n", 3) + '"' * ("r" in kinds[:i])
+
+
+def test_threats_count_for_what_their_clause_makes_of_them():
+    weights = [0.0] * len(toxicity.OUTCOMES)
+    for name, w in {"threat, plain": 1.0, "threat, targeted": 3.0, "threat, negated": -1.0, "threat, reported": -2.0, "intended": 0.5}.items():
+        weights[toxicity.OUTCOMES.index(name)] = w
+    s = toxicity.Scorer(toxicity.Model({}, {}, weights, 0.0))
+    scores = [s.score(t) for t in ("I will kill you", "to kill time", "I will not kill anyone", "he said kill", "a fine day")]
+    assert len({round(x, 6) for x in scores}) == 5 and scores[0] == max(scores) and scores[3] == min(scores)
+
+
 def test_toxicity_is_learned(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     out = toxicity.toxicity(docs, labels).join(labels, "doc_id").where("held_out")
@@ -510,3 +536,40 @@ def test_quality_of_odd_rows(spark):
     assert quality.keep_good(frame(spark, rows), labels).columns == frame(spark, rows).columns
     assert quality.score_quality(frame(spark, rows), labels.limit(0)).select("keep").distinct().count() == 1
     assert quality.score_quality(empty(spark), labels).count() == 0
+
+
+# ------------------------------------------------- clashing names and text ids
+
+CLASHING = ("_id", "_bad", "_gone", "_toxic_score", "_copy", "_rk", "_again", "_fp", "_class", "_tie", "_mine", "_n", "_key", "_y", "_text", "_t", "copies", "size")
+
+
+def clashing(spark, rows, text_ids):
+    docs = frame(spark, rows)
+    docs = docs.withColumn("doc_id", F.concat(F.lit("d"), "doc_id")) if text_ids else docs
+    return docs.withColumns({c: F.lit(c) for c in CLASHING})
+
+
+@pytest.mark.parametrize("text_ids", [False, True])
+def test_all_columns_are_kept(spark, text_ids):
+    docs = clashing(spark, corpus(n=4), text_ids)
+    ids = docs.select("doc_id").where("doc_id is not null").distinct()
+    labels = ids.select("doc_id", F.expr("int(pmod(xxhash64(doc_id), 8) = 0)").alias("toxic")).withColumn("quality", 1 - F.col("toxic"))
+    bench = spark.createDataFrame([(1, corpus(n=4)[0][1]), (2, None)], "item_id long, text string")
+    for f in (
+        lambda d: toxicity.reject_toxic(d, labels), jaccard.one_of_each, lambda d: decontaminate.drop_contaminated(d, bench),
+        mixing.mix_documents, lambda d: sharding.shard_documents(d).drop("slot").withColumn("shard", F.lit("own")).select(d.columns), lambda d: quality.keep_good(d, labels),
+    ):
+        out = f(docs)
+        assert out.columns == docs.columns
+        rows = out.collect()
+        assert rows and all(r[c] == c for r in rows for c in CLASHING)
+    assert sharding.shard_documents(docs).count() == docs.count()
+
+
+def test_text_ids(spark):
+    docs = clashing(spark, corpus(n=4), True)
+    for f in (mixing.mix_digest, sharding.shard_digest, jaccard.similar_components, secrets.secret_digest):
+        assert f(docs).count() == docs.count()
+    # the same pairs of documents, whichever is named first
+    pairs = lambda d: {frozenset(str(x).removeprefix("d") for x in (r.doc_id, r.other_id)) for r in chaining.shared_passages(d).collect()}
+    assert pairs(docs) == pairs(clashing(spark, corpus(n=4), False)) != set()
