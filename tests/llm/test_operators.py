@@ -495,6 +495,61 @@ def test_altered_passages(spark):
     assert all(a == b + 1 and b % 2 == 0 for a, b in out)
 
 
+def _passage_in(a, b):
+    """Whether some 50 words and more of a are equal to those of b, place by place, in
+    80 % and more."""
+    sums = np.concatenate([[0], np.cumsum(np.array(a) == np.array(b))])
+    return any(5 * (sums[e] - sums[s]) >= 4 * (e - s) for s in range(len(a)) for e in range(s + 50, len(a) + 1))
+
+
+@pytest.mark.parametrize("words", [50, 60, 120])
+def test_recall_by_identity(spark, words):
+    rng = random.Random(words)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(5))
+    texts, wanted = [], {}
+    for identity in (0.80, 0.85, 0.90, 0.95):
+        for _ in range(60):
+            p = [word() for _ in range(words)]
+            q = [x if rng.random() < identity else word() for x in p]
+            if _passage_in(p, q):
+                wanted.setdefault(identity, set()).add((len(texts) + 1, len(texts)))
+            texts += [" ".join([*(word() for _ in range(30)), *x, *(word() for _ in range(30))]) for x in (p, q)]
+    found = {(r.doc_id, r.other_id) for r in chaining.shared_passages(texts_frame(spark, texts)).collect()}
+    assert all(a == b + 1 and b % 2 == 0 for a, b in found)
+    for identity, pairs in wanted.items():
+        assert len(pairs) > 20 and len(found & pairs) >= 0.95 * len(pairs), identity
+
+
+def test_altered_copies_of_a_frequent_passage(spark):
+    # forty documents have the passage with every seventh word or so replaced; alone the
+    # one with the original, in the middle, is near enough to all of them
+    rng = random.Random(8)
+    p = prose(rng, 70).split()
+    texts = [" ".join((prose(rng, 30), " ".join(p if i == 23 else [x if rng.random() < 0.85 else prose(rng, 1) for x in p]), prose(rng, 30))) for i in range(41)]
+    found = {frozenset((r.doc_id, r.other_id)) for r in chaining.shared_passages(texts_frame(spark, texts)).collect()}
+    assert sum(frozenset((i, 23)) in found for i in range(41)) >= 36
+
+
+def test_long_gaps_are_aligned():
+    rng = np.random.default_rng(1)
+    a = rng.integers(0, 50, 900)  # no word is there once
+    b = np.concatenate([a[:300], rng.integers(100, 150, 400), a[300:]])
+    got = chaining._between(a, b)
+    assert len(got) == 900 and all(a[i] == b[j] for i, j in got)
+    assert all(x[0] < y[0] and x[1] < y[1] for x, y in zip(got[:-1], got[1:], strict=True))
+    some = np.sort(rng.choice(3000, 2500, replace=False))
+    unique = rng.permutation(3000)
+    assert len(chaining._between(unique, unique[some])) == 2500
+
+
+def test_a_text_of_a_million_characters(spark):
+    rng = random.Random(9)
+    long = prose(rng, 200_000)
+    part = " ".join(long.split()[120_000:120_080])
+    found = {(r.doc_id, r.other_id, r.other_from) for r in chaining.shared_passages(texts_frame(spark, [long, part, "again " * 20_000, "again " * 100])).collect()}
+    assert (1, 0, 120_000) in found and {p[:2] for p in found} == {(1, 0), (3, 2)}
+
+
 def test_passages_of_stock_sentences(spark):
     # documents 30 and 60 alone hold all of the passage; each half has other first and last holders
     rng = random.Random(12)
