@@ -12,10 +12,10 @@ id; the others become revisit records that name its record id and carry digest a
 length of the full payload.
 
 Defined results: null html is the empty payload; null ids are lowest and make
-records without a target page id; rows equal in id are told apart by their place in
-the scan, so exactly one is the response; an empty table writes no archive and
-reads no records; columns other than id, url and html are not looked at. The input
-must be a table or another frame that gives the same rows when read twice.
+records without a target page id; of rows equal in id and payload one, with the largest
+url, counts as the page and the others revisit it or what it revisits; an empty table
+writes no archive and reads no records; columns other than id, url and html are not
+looked at.
 """
 
 from __future__ import annotations
@@ -36,13 +36,15 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arborlex.llm.common import cut, new_path
+from arborlex.llm.common import cut, narrow_join, new_path
 
 DATA, INDEX, PACKAGE = "archive/data.warc.gz", "indexes/index.cdxj", "datapackage.json"
 #: Bytes of WARC data after which a task begins another archive.
 ARCHIVE_BYTES = 64 << 20
 #: Bytes of neighbouring records that are fetched with one range read.
 RANGE_BYTES = 1 << 20
+#: Bytes of records that one task reads back.
+TASK_BYTES = 8 << 20
 MIN_REVISIT_BYTES = 0
 
 
@@ -144,13 +146,14 @@ def record_id(page_id: int | None) -> str:
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 
 
-def build_record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None, revisit: bool, when: str) -> bytes:
-    """One gzip member with a response or revisit record."""
+def build_record(page_id: int | None, url: str | None, payload: bytes, size: int, digest: str, refers_to: int | None, revisit: bool, when: str) -> bytes:
+    """One gzip member with a response or revisit record; size and digest are those of
+    the full payload, which a revisit doesn't hold."""
     clean = "".join(c for c in (url or "urn:unknown") if c > " ").strip() or "urn:unknown"
     own = f"<urn:uuid:{uuid.uuid4()}>" if page_id is None or revisit else record_id(page_id)
     head = [("WARC-Type", "revisit" if revisit else "response"), ("WARC-Record-ID", own), ("WARC-Date", when), ("WARC-Target-URI", clean)]
     head += [("X-Page-Id", "null" if page_id is None else str(page_id))]
-    head += [("WARC-Payload-Digest", f"sha1:{digest}"), ("X-Payload-Length", str(len(payload)))]
+    head += [("WARC-Payload-Digest", f"sha1:{digest}"), ("X-Payload-Length", str(size))]
     if revisit:
         head += [("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"), ("WARC-Refers-To", record_id(refers_to))]
     head += [("Content-Type", "application/http; msgtype=response")]
@@ -249,17 +252,36 @@ class _Forward(io.RawIOBase):
 
 
 def mark_revisits(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", least: int = MIN_REVISIT_BYTES) -> DataFrame:
-    """page_id, url, payload, revisit, refers_to: of rows with equal payloads, the
-    one with the largest id is the response. Only rows whose digest occurs twice
-    have anything to look up; hot digests are joined split by adaptive execution."""
+    """page_id, url, payload (null for revisits), size, sha1, revisit, refers_to: of rows
+    with equal payloads, the one with the largest id is the response. Ids, digests and
+    sizes alone are grouped by digest; the marks are joined back by id, so a payload that
+    a third of the rows have gathers nowhere."""
     body = F.coalesce(F.col(html), F.lit("")).cast("binary")
-    rows = pages.select(F.col(key).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"), body.alias("payload"), F.unhex(F.sha1(body)).alias("sha1"), F.monotonically_increasing_id().alias("_uid"))
-    best = rows.where(F.octet_length("payload") >= least).groupBy("sha1").agg(
-        F.max(F.struct(F.col("page_id").isNotNull().alias("has"), "page_id", "_uid")).alias("m"), F.count(F.lit(1)).alias("n")
-    ).where("n > 1").select("sha1", F.col("m.page_id").alias("_first"), F.col("m._uid").alias("_first_uid"))
-    marked = rows.join(best, "sha1", "left")
-    revisit = F.col("_first_uid").isNotNull() & (F.col("_uid") != F.col("_first_uid"))
-    return marked.select("page_id", "url", "payload", revisit.alias("revisit"), F.when(revisit, F.col("_first")).alias("refers_to"))
+    rows = pages.select(F.col(key).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"), body.alias("payload"))
+    rows = rows.withColumns({"size": F.octet_length("payload").cast("long"), "sha1": F.unhex(F.sha1("payload"))})
+    narrow = cut(rows.select("page_id", "url", "size", "sha1"), "digests")
+    last = F.max(F.struct(F.col("page_id").isNotNull().alias("has"), "page_id"))
+    best = narrow.where(F.col("size") >= least).groupBy("sha1").agg(last.alias("m"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    best = cut(best.select("sha1", F.col("m.page_id").alias("refers_to")), "repeated")
+    marks = narrow.select("page_id", "sha1").join(best, "sha1").where("not (page_id <=> refers_to)").distinct()
+    marks = cut(marks.select(F.col("page_id").alias("_id"), F.col("sha1").alias("_sha1"), "refers_to", F.lit(True).alias("revisit")), "revisits")
+    same = F.col("page_id").eqNullSafe(F.col("_id")) & (F.col("sha1") == F.col("_sha1"))
+    columns = ["page_id", "url", "payload", "size", "sha1", "revisit", "refers_to"]
+
+    def marked(some: DataFrame) -> DataFrame:
+        out = narrow_join(some, marks, same, "left").withColumn("revisit", F.coalesce("revisit", F.lit(False)))
+        return out.withColumn("payload", F.when(~F.col("revisit"), F.col("payload"))).select(columns)
+
+    # rows equal in id and payload: all but one of them are revisits, too
+    again = narrow.groupBy("page_id", "sha1", "size").agg(F.count(F.lit(1)).alias("m"), F.max("url").alias("top")).where((F.col("m") > 1) & (F.col("size") >= least))
+    again = cut(again.select(F.col("page_id").alias("_id"), F.col("sha1").alias("_sha1"), "top"), "again")
+    if again.isEmpty():
+        return marked(rows)
+    one = narrow_join(rows, again, same, "left_semi").groupBy("page_id", "sha1", "size").agg(F.max("url").alias("url"), F.first("payload").alias("payload"))
+    counted = narrow_join(narrow, again, same).groupBy("page_id", "sha1", "size", "url", "top").agg(F.count(F.lit(1)).alias("m"))
+    rest = counted.withColumn("m", F.col("m") - F.when(F.col("url").eqNullSafe(F.col("top")), 1).otherwise(0)).where("m > 0")
+    rest = rest.join(best, "sha1").select("page_id", "url", F.lit(None).cast("binary").alias("payload"), "size", "sha1", F.lit(True).alias("revisit"), "refers_to", F.explode(F.sequence(F.lit(1), F.col("m").cast("int"))).alias("i"))
+    return marked(narrow_join(rows, again, same, "left_anti")).union(marked(one.select(rows.columns))).union(rest.select(columns))
 
 
 def write_archives(marked: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
@@ -276,12 +298,12 @@ def write_archives(marked: DataFrame, folder: str, archive_bytes: int = ARCHIVE_
             done.append((out.path, len(out.lines), out.at))
 
         for batch in batches:
-            for page_id, url, payload, revisit, refers_to in zip(*(batch[c] for c in ("page_id", "url", "payload", "revisit", "refers_to")), strict=True):
+            for page_id, url, payload, size, sha1, revisit, refers_to in zip(*(batch[c] for c in ("page_id", "url", "payload", "size", "sha1", "revisit", "refers_to")), strict=True):
                 page_id = None if pd.isna(page_id) else int(page_id)
                 refers_to = None if pd.isna(refers_to) else int(refers_to)
                 if out is None:
                     out = ArchiveWriter(f"{folder}/{uuid.uuid4().hex}.wacz")
-                out.add(page_id, url, build_record(page_id, url, payload, sha1_base32(payload), refers_to, bool(revisit), when))
+                out.add(page_id, url, build_record(page_id, url, payload or b"", int(size), base64.b32encode(sha1).decode(), refers_to, bool(revisit), when))
                 if out.at >= archive_bytes:
                     finish()
                     out = None
@@ -319,7 +341,8 @@ def locate(archives: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
                     rows.append((path, base + at, lengths))
                 yield pd.DataFrame(rows, columns=["path", "offset", "lengths"])
 
-    return archives.select("path").repartition("path").mapInPandas(ranges, "path string, offset long, lengths array<long>")
+    tasks = max(1, archives.count())
+    return archives.select("path").repartition(tasks).mapInPandas(ranges, "path string, offset long, lengths array<long>")
 
 
 RECORD = "page_id string, url string, record_type string, payload_digest string, payload_bytes long, refers_to string, payload binary"
@@ -348,8 +371,9 @@ def read_records(archives: DataFrame, with_payload: bool = True) -> DataFrame:
                     rows.append((h["X-Page-Id"], h["WARC-Target-URI"], kind, digest, size, refers.removeprefix("<urn:page:").rstrip(">") or None, payload if with_payload and kind == "response" else None))
                 yield pd.DataFrame(rows, columns=["page_id", "url", "record_type", "payload_digest", "payload_bytes", "refers_to", "payload"])
 
-    ranges = locate(archives)
-    raw = ranges.repartition("path", "offset").mapInPandas(fetch, RECORD)
+    # as many tasks as the archives' bytes ask for, whatever the size of their index
+    tasks = max(1, -(-(archives.agg(F.sum("bytes")).first()[0] or 0) // TASK_BYTES))
+    raw = locate(archives).repartition(tasks).mapInPandas(fetch, RECORD)
     number = lambda c: F.when(F.col(c) != "null", F.col(c)).cast("long")
     return raw.withColumns({"page_id": number("page_id"), "refers_to": number("refers_to")})
 
