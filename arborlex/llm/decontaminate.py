@@ -11,14 +11,16 @@ shorter item's.
 
 DataFrame functions only. Items are counted: few enough window hashes are
 broadcast, more are met by a shuffled join. The texts of documents without a hit
-are read once and go nowhere.
+are read once and go nowhere; one with hits is cut to a slice for each diagonal, and
+sent once for every CROWD of them.
 
 Words are runs of letters, digits, marks and underscores, in lower case; seeds see
 them as 64-bit hashes, overlaps as text. Defined results: null and
-empty texts and items hold no words; items under SHORTEST words take no part; items
-with the same words count as the one with the smallest id; repeated rows give one
-row; null ids are kept apart from others and match each other; empty tables give no
-rows; other columns are kept by `drop_contaminated`.
+empty texts and items hold no words; items under SHORTEST words take no part, or with
+`short_items` count where all their words stand in a row (one or two words: where they
+are the whole document); items with the same words count as the one with the smallest
+id; repeated rows give one row; null ids are kept apart from others and match each
+other; empty tables give no rows; other columns are kept by `drop_contaminated`.
 """
 
 from __future__ import annotations
@@ -34,6 +36,8 @@ MASKS = ("111111", "1110111", "11011011", "11100111")
 SHORTEST = 6
 MATCHED = 13
 PENALTY = 3
+#: Diagonals of a document that are looked at with one copy of its text.
+CROWD = 4096
 _SPLIT = r"(?U)\W+"
 
 
@@ -71,9 +75,14 @@ def _long(rows: DataFrame, masks: tuple[str, ...]) -> DataFrame:
 
 
 def hits(docs: DataFrame, items: DataFrame, masks: tuple[str, ...] = MASKS) -> DataFrame:
-    """Distinct (doc, item, diagonal) where some mask's hash agrees.
-    docs: doc, w; items: item, w (words, or their hashes)."""
-    seeds = cut(_long(seed_hashes(items, masks), masks).select("h", "item", F.col("at").alias("item_at")).distinct(), "seeds")
+    """Distinct (doc, item, n, diagonal) where some mask's hash agrees. docs: doc, w;
+    items: item, n (words), w (words, or their hashes). A mask shorter than SHORTEST is
+    for items of just its length, the others for longer ones."""
+    hashes = seed_hashes(items, masks)
+    for k, m in enumerate(masks):
+        own = F.col("n") == len(m) if len(m) < SHORTEST else F.col("n") >= SHORTEST
+        hashes = hashes.withColumn(f"h{k}", F.when(own, F.col(f"h{k}")))
+    seeds = cut(_long(hashes, masks).select("h", "item", "n", F.col("at").alias("item_at")).distinct(), "seeds")
     rows = seed_hashes(docs, masks)
     if fits_broadcast(seeds):
         # first whether any mask hits at all, without taking the hashes apart
@@ -87,7 +96,20 @@ def hits(docs: DataFrame, items: DataFrame, masks: tuple[str, ...] = MASKS) -> D
         found = _long(rows, masks).join(F.broadcast(seeds), "h")
     else:
         found = _long(rows, masks).join(seeds, "h")
-    return found.select("doc", "item", (F.col("at") - F.col("item_at")).alias("diagonal")).distinct()
+    return found.select("doc", "item", "n", (F.col("at") - F.col("item_at")).alias("diagonal")).distinct()
+
+
+def slices(docs: DataFrame, found: DataFrame, key: str, text: str) -> DataFrame:
+    """doc, item, n, diagonal, whole (the document's words), dw: the words beside the
+    item on each diagonal."""
+    count = cut(found.groupBy("doc").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > CROWD).select(F.col("doc").alias("crowd"), "c"), "crowds")
+    part = F.coalesce(F.pmod(F.xxhash64("item", "diagonal"), F.ceil(F.col("c") / CROWD)), F.lit(0))
+    sets = narrow_join(found, count, F.col("doc").eqNullSafe(F.col("crowd")), "left").groupBy("doc", part.alias("part")).agg(F.collect_list(F.struct("item", "n", "diagonal")).alias("hits"))
+    sets = cut(sets.select(F.col("doc").alias("d"), "hits"), "sets")
+    texts = docs.select(F.col(key).alias("doc"), F.col(text).alias("_t"))
+    rows = narrow_join(texts, sets, texts["doc"].eqNullSafe(sets["d"])).select("doc", words("_t").alias("w"), "hits")
+    beside = "transform(hits, h -> named_struct('item', h.item, 'n', h.n, 'diagonal', h.diagonal, 'whole', size(w), 'dw', slice(w, greatest(1, h.diagonal + 1), h.n)))"
+    return rows.select("doc", F.explode(F.expr(beside)).alias("h")).select("doc", "h.*")
 
 
 def best_stretch(penalty: int = PENALTY) -> Column:
@@ -109,23 +131,22 @@ def best_stretch(penalty: int = PENALTY) -> Column:
     return F.expr(f"aggregate(same, {empty}, (t, x) -> {go}, t -> named_struct('matched', t.bm, 'first', {first}, 'last', t.bb))")
 
 
-def overlaps(docs: DataFrame, bench: DataFrame, masks: tuple[str, ...] = MASKS, matched: int = MATCHED, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
+def overlaps(docs: DataFrame, bench: DataFrame, masks: tuple[str, ...] = MASKS, matched: int = MATCHED, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", short_items: bool = False) -> DataFrame:
     """doc_id, item_id, matched, words, doc_from, doc_to, identity: the best stretch
     of every contaminated document and item; positions are words, ends exclusive."""
-    items = bench.select(F.col(item_key).alias("item"), words(item_text).alias("w")).where(F.size("w") >= SHORTEST)
-    items = cut(items.groupBy("w").agg(F.min("item").alias("item")), "items")
+    items = bench.select(F.col(item_key).alias("item"), words(item_text).alias("w")).where(F.size("w") >= (1 if short_items else SHORTEST))
+    items = cut(items.groupBy("w").agg(F.min("item").alias("item")).select("w", "item", F.size("w").alias("n")), "items")
+    # at most SHORTEST - 1 rows
+    short = sorted(r.n for r in items.where(F.col("n") < SHORTEST).select("n").distinct().collect())
     texts = docs.select(F.col(key).alias("doc"), hashed(words(text)).alias("w"))
-    found = cut(hits(texts, items.select("item", hashed(F.col("w")).alias("w")), masks), "hits")
-    mine = found.select(F.col("doc").alias("d"), "item", "diagonal")
-    texts = docs.select(F.col(key).alias("doc"), F.col(text).alias("_t"))
-    with_text = narrow_join(texts, mine, texts["doc"].eqNullSafe(mine["d"])).select("doc", "item", "diagonal", words("_t").alias("w"))
+    found = cut(hits(texts, items.select("item", "n", hashed(F.col("w")).alias("w")), (*masks, *("1" * n for n in short))), "hits")
+    beside = slices(docs, found, key, text)
     item_words = items.select(F.col("item").alias("i"), F.col("w").alias("iw"))
-    laid = narrow_join(with_text, item_words, F.col("item").eqNullSafe(F.col("i")))
-    # only the stretch beside the item is carried on
-    beside = laid.select("doc", "item", "diagonal", "iw", F.greatest(F.lit(0), -F.col("diagonal")).alias("skip"), F.slice("w", F.greatest(F.lit(1), F.col("diagonal") + 1), F.size("iw")).alias("dw"))
+    laid = narrow_join(beside, item_words, F.col("item").eqNullSafe(F.col("i"))).where((F.col("n") > 2) | (F.col("whole") == F.col("n")))
+    laid = laid.withColumn("skip", F.greatest(F.lit(0), -F.col("diagonal")))
     same = F.expr("transform(iw, (x, j) -> IF(j >= skip AND get(dw, j - skip) = x, 1, 0))")
-    scored = beside.select("doc", "item", "diagonal", F.size("iw").alias("n"), same.alias("same")).withColumn("b", best_stretch())
-    enough = F.least(F.lit(matched), F.ceil(F.col("n") * 0.8).cast("int"))
+    scored = laid.select("doc", "item", "diagonal", "n", same.alias("same")).withColumn("b", best_stretch())
+    enough = F.when(F.col("n") < SHORTEST, F.col("n")).otherwise(F.least(F.lit(matched), F.ceil(F.col("n") * 0.8).cast("int")))
     kept = scored.where(F.col("b.matched") >= enough).select("doc", "item", F.struct(F.col("b.matched").alias("matched"), -F.col("diagonal"), F.col("n").alias("n"), (F.col("diagonal") + F.col("b.first")).alias("a"), (F.col("diagonal") + F.col("b.last") + 1).alias("z")).alias("r"))
     best = kept.groupBy("doc", "item").agg(F.max("r").alias("r"))
     return best.select(

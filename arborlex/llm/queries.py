@@ -19,7 +19,7 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from arborlex.llm.decontaminate import overlaps
 
-    return overlaps(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return overlaps(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), short_items=True)
 
 
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -375,6 +375,47 @@ def test_all_matches_beside_a_substitution_count(spark):
     assert out == {(0, 0): 18, (1, 1): 14, (2, 2): 20}
 
 
+def _laid(text, item):
+    """Brute force: the most equal words of any diagonal's stretch with at most one
+    other word to three equal ones, and whether some spaced seed lies on it."""
+    w, v = (re.findall(r"\w+", x.lower()) for x in (text, item))
+    best = 0
+    for d in range(-len(v) + 1, len(w)):
+        same = [int(0 <= d + j < len(w) and w[d + j] == x) for j, x in enumerate(v)]
+        if not any(all(same[a + i] for i, bit in enumerate(m) if bit == "1") for m in decontaminate.MASKS for a in range(len(v) - len(m) + 1)):
+            continue
+        sums = list(itertools.accumulate(same, initial=0))
+        best = max([best, *(sums[z] - sums[a] for a in range(len(v)) for z in range(a + 1, len(v) + 1) if 4 * (sums[z] - sums[a]) >= 3 * (z - a))])
+    return best
+
+
+def test_decontamination_by_brute_force(spark):
+    rng = random.Random(21)
+    items = [prose(rng, rng.randint(6, 30)) for _ in range(12)]
+    texts = []
+    for share in (0.0, 0.1, 0.2, 0.3):
+        for t in items:
+            some = " ".join(prose(rng, 1) if rng.random() < share else w for w in t.split()[rng.choice([0, 0, 3]) :])
+            texts.append(" ".join((prose(rng, rng.randint(0, 9)), some, prose(rng, rng.randint(0, 9)))).strip())
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    out = {(r.doc_id, r.item_id): r.matched for r in decontaminate.overlaps(texts_frame(spark, texts), bench).collect()}
+    want = {(i, k): m for i, t in enumerate(texts) for k, x in enumerate(items) if (m := _laid(t, x)) >= min(13, -(-len(x.split()) * 4 // 5))}
+    assert out == want and len(want) > 24
+
+
+def test_short_items_count_whole(spark):
+    texts = ["what is the capital", "we ask What is the capital, of it", "what is the big capital", "yes", "yes or no", None, ""]
+    bench = spark.createDataFrame([(1, "what is the capital"), (2, "yes"), (3, ""), (4, None)], "item_id long, text string")
+    run = lambda **o: {(r.doc_id, r.item_id) for r in decontaminate.overlaps(texts_frame(spark, texts), bench, **o).collect()}
+    assert run(short_items=True) == {(0, 1), (1, 1), (3, 2)} and run() == set()
+
+
+def test_twenty_thousand_equal_words(spark):
+    bench = spark.createDataFrame([(1, "same " * 40)], "item_id long, text string")
+    out = decontaminate.overlaps(texts_frame(spark, ["same " * 20_000, "other " * 20_000]), bench).collect()
+    assert [(r.doc_id, r.matched) for r in out] == [(0, 40)]
+
+
 def test_best_stretch_by_brute_force(spark):
     rng = random.Random(10)
     rows = [[int(rng.random() >= p) for _ in range(rng.randint(0, 40))] for p in (0.1, 0.15, 0.2, 0.6) for _ in range(50)]
