@@ -7,6 +7,7 @@ label text have no built-in and run as Arrow-batched functions over few rows.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from difflib import SequenceMatcher
 
 import pandas as pd
@@ -123,9 +124,29 @@ def similarity(left: str, right: str) -> tuple[float, float, float]:
     return max(ratio, overlap), ratio, overlap
 
 
-@F.pandas_udf(_SCORES)
-def name_similarity(left: pd.Series, right: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([similarity(a, b) for a, b in zip(left, right, strict=True)], columns=["score", "sequence_score", "overlap_score"])
+def _can_reach(a: str, b: str, least: float) -> bool:
+    """Whether the letters of two names, in any order, or their tokens allow a score of
+    `least`."""
+    s, t = token_list(a), token_list(b)
+    if normalized(a) == normalized(b) or not s or not t:
+        return True
+    shared = len(set(s) & set(t))
+    x, y = " ".join(s), " ".join(t)
+    return (shared > 1 and shared >= least * min(len(s), len(t))) or 2 * (Counter(x) & Counter(y)).total() >= least * (len(x) + len(y))
+
+
+def name_similarity_from(least: float = 0.0):
+    """similarity() as a column; of pairs that can't reach `least`, all scores are -1."""
+
+    @F.pandas_udf(_SCORES)
+    def name_similarity(left: pd.Series, right: pd.Series) -> pd.DataFrame:
+        rows = [similarity(a, b) if least <= 0 or _can_reach(a, b, least) else (-1.0, -1.0, -1.0) for a, b in zip(left, right, strict=True)]
+        return pd.DataFrame(rows, columns=["score", "sequence_score", "overlap_score"])
+
+    return name_similarity
+
+
+name_similarity = name_similarity_from()
 
 
 def repair_label_text(value: object, most: int, least: int = 1) -> str | None:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from arborlex.functions import text as T
 from arborlex.operators.ordering import with_index
-from arborlex.operators.storage import cut
+from arborlex.operators.storage import cut, narrow_join
 
 GROUP = "group_id string, name string, definition string, support_count long"
 MAX_GROUP, MIN_SIMILARITY = 12, 0.80
@@ -61,29 +62,47 @@ def screening_chunks(groups: DataFrame, size: int) -> DataFrame:
 # ----------------------------------------------------------------- similarity
 
 
+#: Holders of a token that one part of its self-join has on one side.
+TOKEN_PART = 4096
+
+
+def _named(pool: DataFrame) -> DataFrame:
+    return pool.select("group_id", "name", T.name_tokens("name").alias("tokens"))
+
+
+def _blocked(pool: DataFrame, least: float = 0.0) -> DataFrame:
+    """left_ and right_ id, name and tokens of candidates that share an informative
+    token (left < right), each pair once: at the first token it shares. Those whose
+    lengths or tokens rule out a score of `least` are dropped inside the join. A token
+    of many candidates is parted: one side by their ids, the other sent to each part."""
+    names = cut(_named(pool), "names")
+    tokens = names.withColumn("token", F.explode("tokens"))
+    parts = tokens.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / TOKEN_PART).cast("int").alias("parts")).where("parts > 1")
+    tokens = narrow_join(tokens, parts, "token", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    side = lambda df, k: df.select("token", "part", *(F.col(c).alias(f"{k}_{c.removeprefix('group_')}") for c in names.columns))
+    left = side(tokens.withColumn("part", F.pmod(F.xxhash64("group_id"), "parts").cast("int")), "left")
+    right = side(tokens.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))), "right")
+    both = left.join(right, ["token", "part"]).where("left_id < right_id")
+    both = both.where(F.col("token") == F.array_min(F.array_intersect("left_tokens", "right_tokens")))
+    if least > 0:
+        length = lambda k: F.length(F.array_join(f"{k}_tokens", " "))
+        bound = F.greatest(2 * F.least(length("left"), length("right")) / (length("left") + length("right")), T.overlap_score("left_tokens", "right_tokens"))
+        both = both.where((bound >= least) | (T.normalize_text("left_name") == T.normalize_text("right_name")))
+    return both.drop("token", "part")
+
+
 def block_pairs(pool: DataFrame) -> DataFrame:
-    """left_id, right_id (left < right) of candidates that share an informative token.
-    The join is on the token; hot tokens are left to adaptive skew handling, as
-    dropping them would change results."""
-    tokens = pool.select("group_id", F.explode(T.name_tokens("name")).alias("token"))
-    left, right = tokens.select(F.col("group_id").alias("left_id"), "token"), tokens.select(F.col("group_id").alias("right_id"), "token")
-    return left.join(right, "token").where("left_id < right_id").select("left_id", "right_id").distinct()
+    """left_id, right_id (left < right) of candidates that share an informative token."""
+    return _blocked(pool).select("left_id", "right_id")
 
 
 def scored_pairs(pool: DataFrame, excluded: DataFrame | None = None, least: float = 0.0) -> DataFrame:
     """left_id, left_name, right_id, right_name, scores and shared tokens of blocked
-    pairs, each scored once with the smaller id first. Pairs that cannot reach
-    `least` (by an upper bound of the ratio) are left out before any is scored."""
-    pairs = block_pairs(pool)
+    pairs, each scored once with the smaller id first; only those of at least `least`."""
+    both = _blocked(pool, least)
     if excluded is not None:
-        pairs = pairs.join(excluded, ["left_id", "right_id"], "left_anti")
-    names = pool.select("group_id", "name", T.name_tokens("name").alias("tokens"))
-    side = lambda k: names.select(*(F.col(c).alias(f"{k}_{'id' if c == 'group_id' else c}") for c in names.columns))
-    both = pairs.join(side("left"), "left_id").join(side("right"), "right_id")
-    length = lambda k: F.length(F.array_join(f"{k}_tokens", " "))
-    bound = F.greatest(2 * F.least(length("left"), length("right")) / (length("left") + length("right")), T.overlap_score("left_tokens", "right_tokens"))
-    same = T.normalize_text("left_name") == T.normalize_text("right_name")
-    both = both.where((bound >= least) | same).withColumn("s", T.name_similarity("left_name", "right_name"))
+        both = both.join(excluded, ["left_id", "right_id"], "left_anti")
+    both = both.withColumn("s", T.name_similarity_from(least)("left_name", "right_name")).where(F.col("s.score") >= least)
     return both.select("left_id", "left_name", "right_id", "right_name", "s.score", "s.sequence_score", "s.overlap_score", F.array_sort(F.array_intersect("left_tokens", "right_tokens")).alias("shared_tokens"))
 
 
@@ -148,55 +167,105 @@ def greedy_cliques(rows: list[tuple[str, str]], scores: dict[tuple[str, str], fl
 
 
 MEMBER = "threshold double, seed_id string, member_pos int, group_id string, min_similarity double, mean_similarity double"
+#: Links of a component up to which one task goes through its seeds.
+COMPONENT_LINKS = 50_000
 
 
 def neighbourhoods(pool: DataFrame, thresholds: list[float], most: int = MAX_GROUP, excluded: DataFrame | None = None, pairs: DataFrame | None = None) -> DataFrame:
     """Members of the groups of mutually similar candidates, for each threshold.
 
     A seed meets only candidates it is linked with by a blocked pair of at least the
-    threshold, so each connected component of those links is worked on by itself."""
+    threshold, so components of the links of the lowest threshold don't touch each
+    other. Small ones are gone through in one task each; for others, all seeds that no
+    smaller one can still interfere with take their turns together, in rounds."""
     if most < 2:
         raise ValueError("most must be at least 2")
     if not all(0 <= t <= 1 for t in thresholds):
         raise ValueError("thresholds must be between 0 and 1")
-    pairs = cut(scored_pairs(pool, excluded, min(thresholds)) if pairs is None else pairs, "pairs")
-    out = None
+    least = min(thresholds)
+    pairs = cut(scored_pairs(pool, excluded, least) if pairs is None else pairs.where(F.col("score") >= least), "pairs")
+    parts = cut(_components(pairs), "components")
+    own = parts.select(F.col("group_id").alias("left_id"), "component")
+    links = cut(pairs.select("left_id", "left_name", "right_id", "right_name", "score").join(own, "left_id"), "links")
+    large = cut(links.groupBy("component").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > COMPONENT_LINKS).select("component"), "large")
+    apart = excluded.join(own, "left_id").select("component", "left_id", "right_id") if excluded is not None else None
+    few = links if large.isEmpty() else narrow_join(links, large, "component", "left_anti")
+    rows = few.groupBy("component").agg(F.collect_list(F.struct("left_id", "left_name", "right_id", "right_name", "score")).alias("links"))
+    if apart is not None:
+        told = narrow_join(apart, few.select("component").distinct(), "component", "left_semi").groupBy("component").agg(F.collect_list(F.struct("left_id", "right_id")).alias("excluded"))
+        rows = rows.join(told, "component", "left")
+    else:
+        rows = rows.withColumn("excluded", F.lit(None).cast("array<struct<left_id:string,right_id:string>>"))
+    out = rows.mapInPandas(_cliques(thresholds, most), MEMBER)
+    if large.isEmpty():
+        return out
+    many = cut(narrow_join(links, large, "component", "left_semi"), "links")
     for t in thresholds:
-        links = pairs.where(F.col("score") >= t)
-        parts = cut(_components(links), "components")
-        members = parts.join(pool.select("group_id", "name"), "group_id")
-        edges = links.join(parts.withColumnRenamed("group_id", "left_id"), "left_id").select("component", "left_id", "right_id", "score")
-        out_pairs = None
-        if excluded is not None:
-            out_pairs = excluded.join(parts.withColumnRenamed("group_id", "left_id"), "left_id").select("component", "left_id", "right_id")
-        rows = members.select("component", F.struct("group_id", "name").alias("m")).groupBy("component").agg(F.collect_list("m").alias("members"))
-        rows = rows.join(edges.groupBy("component").agg(F.collect_list(F.struct("left_id", "right_id", "score")).alias("edges")), "component")
-        none = F.array().cast("array<struct<left_id:string,right_id:string>>")
-        if out_pairs is not None:
-            rows = rows.join(out_pairs.groupBy("component").agg(F.collect_list(F.struct("left_id", "right_id")).alias("x")), "component", "left").withColumn("excluded", F.coalesce("x", none)).drop("x")
-        else:
-            rows = rows.withColumn("excluded", none)
-        found = rows.mapInPandas(_cliques(t, most), MEMBER)
-        out = found if out is None else out.unionByName(found)
+        out = out.unionByName(_in_rounds(many.where(F.col("score") >= t), excluded, t, most))
     return out
 
 
-def _cliques(threshold: float, most: int):
+def _cliques(thresholds: list[float], most: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for members, edges, excluded in zip(batch["members"], batch["edges"], batch["excluded"], strict=True):
-                names = [(m["group_id"], m["name"]) for m in members]
-                scores = {(e["left_id"], e["right_id"]): e["score"] for e in edges}
-                blocked = set(scores)
-                for group in greedy_cliques(names, scores, blocked, {(e["left_id"], e["right_id"]) for e in excluded}, threshold, most):
-                    s = [scores[min(a, b), max(a, b)] for i, a in enumerate(group) for b in group[i + 1 :]]
-                    rows += [(threshold, group[0], k, g, min(s), sum(s) / len(s)) for k, g in enumerate(group)]
+            for links, excluded in zip(batch["links"], batch["excluded"], strict=True):
+                names = dict([(e["left_id"], e["left_name"]) for e in links] + [(e["right_id"], e["right_name"]) for e in links])
+                scores = {(e["left_id"], e["right_id"]): e["score"] for e in links}
+                apart = {(e["left_id"], e["right_id"]) for e in excluded} if excluded is not None else set()
+                blocked = dict(scores)
+                for t in thresholds:
+                    for group in greedy_cliques(list(names.items()), scores, {k for k, s in blocked.items() if s >= t}, apart, t, most):
+                        s = [scores[min(a, b), max(a, b)] for i, a in enumerate(group) for b in group[i + 1 :]]
+                        rows += [(t, group[0], k, g, min(s), sum(s) / len(s)) for k, g in enumerate(group)]
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in MEMBER.split(", ")])
 
     return run
 
 
+def _in_rounds(links: DataFrame, excluded: DataFrame | None, threshold: float, most: int) -> DataFrame:
+    """What greedy_cliques gives, without a group of links in one place.
+
+    A seed's turn depends on smaller ones that are its neighbours or share one. In each
+    round all candidates that are the smallest within two steps take their turns; what
+    they take is out for the next. A turn itself is `most` - 1 steps: the best neighbour
+    is taken, those that don't fit it are dropped."""
+    flip = links.select(F.col("right_id").alias("a"), F.col("right_name").alias("a_name"), F.col("left_id").alias("b"), F.col("left_name").alias("b_name"), "score")
+    edges = cut(links.select(F.col("left_id").alias("a"), F.col("left_name").alias("a_name"), F.col("right_id").alias("b"), F.col("right_name").alias("b_name"), "score").union(flip), "edges")
+    found: list[DataFrame] = []
+    while not edges.isEmpty():
+        near = cut(edges.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m")), "near")
+        far = edges.join(near.select(F.col("a").alias("b"), F.col("m").alias("n")), "b").groupBy("a").agg(F.min("n").alias("n"))
+        seeds = cut(near.join(far, "a").where("m = a and n >= a").select("a"), "seeds")
+        own = edges.join(seeds, "a", "left_semi")
+        left = cut(own.select(F.col("a").alias("seed"), F.col("b").alias("id"), F.col("b_name").alias("name"), "score", F.col("score").alias("low"), F.col("score").alias("total")), "turn")
+        taken = [seeds.select("a")]
+        for k in range(1, most):
+            best = cut(left.groupBy("seed").agg(F.min(F.struct((-F.col("score")).alias("s"), "id", "name", "low", "total")).alias("r")).select("seed", "r.*"), "best")
+            found.append(best.select("seed", F.lit(k).alias("k"), "id", "low", "total"))
+            taken.append(best.select(F.col("id").alias("a")))
+            if k + 1 == most:
+                break
+            both = left.join(best.select("seed", F.col("id").alias("other"), F.col("name").alias("other_name")), "seed").where("id <> other")
+            first = F.col("id") < F.col("other")
+            if excluded is not None:
+                told = excluded.select(F.col("left_id").alias("x"), F.col("right_id").alias("y"))
+                both = both.join(told, (F.least("id", "other") == F.col("x")) & (F.greatest("id", "other") == F.col("y")), "left_anti")
+            one, two = F.when(first, F.col("name")).otherwise(F.col("other_name")), F.when(first, F.col("other_name")).otherwise(F.col("name"))
+            both = both.withColumn("now", T.name_similarity(one, two)["score"]).where(F.col("now") >= threshold)
+            left = cut(both.select("seed", "id", "name", "score", F.least("low", "now").alias("low"), (F.col("total") + F.col("now")).alias("total")), "turn")
+            if left.isEmpty():
+                break
+        gone = cut(reduce(DataFrame.union, taken).distinct(), "gone")
+        edges = cut(edges.join(gone, "a", "left_anti").join(gone.withColumnRenamed("a", "b"), "b", "left_anti").select("a", "a_name", "b", "b_name", "score"), "edges")
+    spark = links.sparkSession
+    rows = cut(reduce(DataFrame.union, found), "found") if found else spark.createDataFrame([], "seed string, k int, id string, low double, total double")
+    size = F.count(F.lit(1)) + 1
+    sums = rows.groupBy("seed").agg(F.min("low").alias("low"), (F.sum("total") / (size * (size - 1) / 2)).alias("mean"))
+    members = rows.select("seed", F.col("k").cast("int").alias("k"), "id").union(sums.select("seed", F.lit(0), F.col("seed")))
+    return members.join(sums, "seed").select(F.lit(float(threshold)).alias("threshold"), F.col("seed").alias("seed_id"), F.col("k").alias("member_pos"), F.col("id").alias("group_id"), F.col("low").alias("min_similarity"), F.col("mean").alias("mean_similarity"))
+
+
 def worth_reviewing(members: DataFrame, pool: DataFrame, least: int) -> DataFrame:
     """Members of those groups whose candidates have enough support together."""
     w = W.partitionBy("threshold", "seed_id")

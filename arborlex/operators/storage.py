@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, NumericType, StringType, StructField, StructType
 
-#: Rows of a narrow side up to which it is broadcast; beyond, the join shuffles.
+#: Rows and bytes of a narrow side up to which it is broadcast; beyond either, the join
+#: shuffles.
 BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 64 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -38,9 +42,24 @@ def cut(df: DataFrame, tag: str = "cut") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def fits_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
-    """Whether df has at most `limit` rows, counted (no more than limit + 1 of them)."""
-    return df.limit(limit + 1).count() <= limit
+def _bytes(field: StructField) -> Column:
+    """The bytes of a row's value: counted where they vary."""
+    kind, c = field.dataType, F.col(f"`{field.name}`")
+    if isinstance(kind, (StringType, BinaryType)):
+        return 8 + F.coalesce(F.octet_length(c), F.lit(0))
+    if isinstance(kind, ArrayType) and isinstance(kind.elementType, NumericType):
+        return 8 + 8 * F.greatest(F.size(c), F.lit(0))
+    if isinstance(kind, (ArrayType, MapType, StructType)):
+        return 8 + F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0))
+    return F.lit(8)
+
+
+def fits_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """Whether df has at most `limit` rows and `size` bytes, counted (no more than
+    limit + 1 rows of them)."""
+    total = reduce(Column.__add__, map(_bytes, df.schema.fields))
+    row = df.limit(limit + 1).select(total.alias("b")).agg(F.count(F.lit(1)).alias("n"), F.sum("b").alias("b")).first()
+    return row.n <= limit and (row.b or 0) <= size
 
 
 def narrow_join(big: DataFrame, small: DataFrame, on, how: str = "inner", limit: int = BROADCAST_ROWS) -> DataFrame:

@@ -124,7 +124,9 @@ def test_no_chaining_and_one_batch_of_similar(spark):
     assert C.greedy_cliques([("a", "x"), ("b", "x"), ("c", "x")], {("a", "b"): 0.9, ("b", "c"): 0.9, ("a", "c"): 0.4}, {("a", "b"), ("b", "c")}, set(), 0.8, 12) == [["a", "b"]]
 
 
-def test_components_give_what_the_whole_pool_gives(spark):
+@pytest.mark.parametrize("links", [C.COMPONENT_LINKS, 0])
+def test_components_give_what_the_whole_pool_gives(spark, monkeypatch, links):
+    monkeypatch.setattr(C, "COMPONENT_LINKS", links)  # 0: all in rounds
     rng = random.Random(5)
     words = ["media", "ethics", "law", "sport", "history", "music"]
     rows = [(f"G{i:02d}", " ".join(rng.sample(words, rng.randint(1, 3))), "x", i + 1) for i in range(40)]
