@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arborlex.functions.text import normalize_text
+from arborlex.operators.storage import narrow_join
 
 
 def active_labels(seeds: DataFrame, dynamic: DataFrame) -> DataFrame:
@@ -35,9 +36,9 @@ def name_collisions(new: DataFrame, active: DataFrame) -> DataFrame:
 def merge_labels(dynamic: DataFrame, merges: DataFrame, version: int) -> DataFrame:
     """Dynamic labels after merges (source, target): sources go, dynamic targets get
     their counts."""
-    gone = dynamic.join(F.broadcast(merges), dynamic["id"] == merges["source"])
+    gone = narrow_join(dynamic, merges, dynamic["id"] == merges["source"])
     sums = gone.groupBy(F.col("target").alias("id")).agg(F.sum("usage_count").alias("_u"), F.sum("proposal_support_count").alias("_p"))
-    left = dynamic.join(F.broadcast(merges.select(F.col("source").alias("id"))), "id", "left_anti").join(sums, "id", "left")
+    left = narrow_join(dynamic, merges.select(F.col("source").alias("id")), "id", "left_anti").join(sums, "id", "left")
     return left.withColumns({
         "usage_count": F.col("usage_count") + F.coalesce("_u", F.lit(0)), "proposal_support_count": F.col("proposal_support_count") + F.coalesce("_p", F.lit(0)),
         "last_modified_version": F.when(F.col("_u").isNotNull(), F.lit(version)).otherwise(F.col("last_modified_version")),
@@ -46,14 +47,14 @@ def merge_labels(dynamic: DataFrame, merges: DataFrame, version: int) -> DataFra
 
 def merge_aliases(aliases: DataFrame, merges: DataFrame) -> DataFrame:
     """Aliases after merges: those that led to a source lead to its target."""
-    m = F.broadcast(merges.select(F.col("source").alias("_s"), F.col("target").alias("_t")))
-    moved = aliases.join(m, F.col("target") == F.col("_s"), "left").select("source", F.coalesce("_t", "target").alias("target"))
+    m = merges.select(F.col("source").alias("_s"), F.col("target").alias("_t"))
+    moved = narrow_join(aliases, m, F.col("target") == F.col("_s"), "left").select("source", F.coalesce("_t", "target").alias("target"))
     return moved.unionByName(merges.select("source", "target"))
 
 
 def revise_labels(dynamic: DataFrame, revisions: DataFrame, version: int) -> DataFrame:
-    r = F.broadcast(revisions.select(F.col("label_id").alias("id"), F.col("name").alias("_n"), F.col("definition").alias("_d")))
-    return dynamic.join(r, "id", "left").withColumns({
+    r = revisions.select(F.col("label_id").alias("id"), F.col("name").alias("_n"), F.col("definition").alias("_d"))
+    return narrow_join(dynamic, r, "id", "left").withColumns({
         "name": F.coalesce("_n", "name"), "definition": F.coalesce("_d", "definition"),
         "last_modified_version": F.when(F.col("_n").isNotNull(), F.lit(version)).otherwise(F.col("last_modified_version")),
     }).drop("_n", "_d")

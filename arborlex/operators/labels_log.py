@@ -51,7 +51,8 @@ def unknown_labels(log: DataFrame, active: DataFrame, aliases: DataFrame) -> Dat
     """doc_id, label_id of assignments to ids that are neither active nor aliases."""
     known = known_ids(active, aliases)
     ids = log.select("doc_id", F.explode("assigned_label_ids").alias("label_id"))
-    return ids.join(F.broadcast(known.withColumnRenamed("id", "label_id")), "label_id", "left_anti").select("doc_id", "label_id")
+    # as few rows as there are labels
+    return narrow_join(ids, known.withColumnRenamed("id", "label_id"), "label_id", "left_anti").select("doc_id", "label_id")
 
 
 def known_ids(active: DataFrame, aliases: DataFrame) -> DataFrame:

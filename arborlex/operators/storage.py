@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from functools import reduce
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,3 +67,69 @@ def fits_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS, size: int = BROAD
 def narrow_join(big: DataFrame, small: DataFrame, on, how: str = "inner", limit: int = BROADCAST_ROWS) -> DataFrame:
     """Join with a narrow side: broadcast when counted small, else shuffled."""
     return big.join(F.broadcast(small) if fits_broadcast(small, limit) else small, on, how)
+
+
+# ------------------------------------------------- small files in any file system
+
+
+def _store(path: str | Path):
+    """(file system, path) of Hadoop, or None and a local path: where Spark writes, too.
+    Without a session paths are local."""
+    spark = SparkSession.getActiveSession()
+    if spark is None:
+        return None, Path(path)
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(str(path))
+    fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.getScheme() == "file":
+        return None, Path(jpath.toUri().getPath())
+    return fs, jpath
+
+
+def exists(path: str | Path) -> bool:
+    fs, own = _store(path)
+    return own.exists() if fs is None else fs.exists(own)
+
+
+def child_names(folder: str | Path) -> list[str]:
+    """Names in a folder; none where there is no folder."""
+    fs, own = _store(folder)
+    if fs is None:
+        return sorted(p.name for p in own.iterdir()) if own.is_dir() else []
+    return sorted(s.getPath().getName() for s in fs.listStatus(own)) if fs.exists(own) else []
+
+
+def read_text(path: str | Path) -> str:
+    fs, own = _store(path)
+    if fs is None:
+        return own.read_text(encoding="utf-8")
+    stream = fs.open(own)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()
+
+
+def write_text(path: str | Path, text: str) -> None:
+    """Write beside the target, then put it in its place at once."""
+    fs, own = _store(path)
+    if fs is None:
+        own.parent.mkdir(parents=True, exist_ok=True)
+        beside = own.with_name(own.name + ".new")
+        with beside.open("w", encoding="utf-8") as f:
+            f.write(text)
+            f.flush()
+            os.fsync(f.fileno())
+        os.replace(beside, own)
+        return
+    spark = SparkSession.getActiveSession()
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    beside = hadoop.Path(own.getParent(), own.getName() + ".new")
+    out = fs.create(beside, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    rename = getattr(hadoop, "Options$Rename")
+    how = spark.sparkContext._gateway.new_array(rename, 1)
+    how[0] = rename.OVERWRITE
+    hadoop.FileContext.getFileContext(own.toUri(), spark._jsc.hadoopConfiguration()).rename(beside, own, how)

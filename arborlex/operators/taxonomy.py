@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import os
 import re
 import time
 from collections import Counter
@@ -19,6 +18,7 @@ from pathlib import Path
 from typing import Any
 
 from arborlex.functions.text import normalized
+from arborlex.operators.storage import read_text, write_text
 
 FORMAT_VERSION = 3
 FIRST_DYNAMIC = 25
@@ -368,29 +368,18 @@ def from_json(text: str) -> Taxonomy:
 
 def save(t: Taxonomy, path: str | Path) -> None:
     """Write beside the target, then put it in its place."""
-    write_atomically(path, to_json(t))
-
-
-def write_atomically(path: str | Path, text: str) -> None:
-    path = Path(path)
-    path.parent.mkdir(parents=True, exist_ok=True)
-    beside = path.with_name(path.name + ".new")
-    with beside.open("w", encoding="utf-8") as f:
-        f.write(text)
-        f.flush()
-        os.fsync(f.fileno())
-    os.replace(beside, path)
+    write_text(path, to_json(t))
 
 
 def load(path: str | Path) -> Taxonomy:
-    return from_json(Path(path).read_text(encoding="utf-8"))
+    return from_json(read_text(path))
 
 
 def load_seeds(path: str | Path, expected: int | None = None) -> list[Label]:
     """A YAML list of id, name, definition."""
     import yaml
 
-    rows = yaml.safe_load(Path(path).read_text(encoding="utf-8"))
+    rows = yaml.safe_load(read_text(path))
     if not isinstance(rows, list) or not all(isinstance(r, dict) and set(r) == {"id", "name", "definition"} for r in rows):
         raise TaxonomyError(f"{path}: not a list of id, name and definition")
     labels = [Label(*(str(r[k]).strip() for k in ("id", "name", "definition"))) for r in rows]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from arborlex.operators.inference import Labeler, label_documents
 from arborlex.operators.labels_log import orphans, pending, seq_gaps
 from arborlex.operators.ordering import with_index
-from arborlex.operators.storage import cut
+from arborlex.operators.storage import cut, exists
 from arborlex.operators.taxonomy import Taxonomy, TaxonomyError
 from arborlex.sources.sinks import append_epoch, ensure_metadata, epochs, read_log
 
@@ -36,9 +36,7 @@ def run_classification(docs: DataFrame, labeler: Labeler, taxonomy: Taxonomy, ou
     taxonomy.checked()
     meta = {"source": source, "taxonomy_hash": taxonomy.frozen_hash, "taxonomy_version": taxonomy.schema_version, "labeler": type(labeler).__name__, "created_at_unix": int(time.time())}
     if epochs(output):
-        from pathlib import Path
-
-        if not Path(f"{output}.meta.json").exists():
+        if not exists(f"{output}.meta.json"):
             raise ValueError(f"{output} has results but no metadata")
     ensure_metadata(f"{output}.meta.json", meta)
     done = read_log(spark, output, RESULT)

@@ -12,7 +12,6 @@ from __future__ import annotations
 import logging
 import math
 from collections.abc import Sequence
-from pathlib import Path
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +22,7 @@ from arborlex.operators import labels_log as G
 from arborlex.operators.candidates import GROUP, neighbourhoods, worth_reviewing
 from arborlex.operators.inference import Labeler, label_documents
 from arborlex.operators.ordering import with_index
-from arborlex.operators.storage import cut
+from arborlex.operators.storage import cut, exists
 from arborlex.operators.taxonomy import Group, Label, Taxonomy, TaxonomyError, load, new_taxonomy, save
 from arborlex.sources.sinks import append_epoch, epochs, read_log
 
@@ -117,11 +116,45 @@ def _aliases(spark: SparkSession, t: Taxonomy) -> DataFrame:
     return spark.createDataFrame(list(t.alias_map.items()), "source string, target string")
 
 
-def usage(log: DataFrame, t: Taxonomy) -> dict[str, int]:
-    """Uses of each dynamic label (as many as there are labels)."""
-    spark = log.sparkSession
-    rows = G.usage_counts(log, _ids(spark, [x.id for x in t.dynamic_labels]), _aliases(spark, t)).collect()
-    return {r.id: r.usage_count for r in rows}
+class DiscoveryLog:
+    """The log's epochs and what is known of them: the last seq of each, and how often
+    each id was assigned. The whole log is read and checked once, when a run begins;
+    after that only epochs that are added, and those whose proposals are due."""
+
+    def __init__(self, spark: SparkSession, folder: str, t: Taxonomy) -> None:
+        self.spark, self.folder = spark, folder
+        own = epochs(folder)
+        whole = read_log(spark, folder, G.LOG, only=own)
+        self.latest = check_log(whole, t)
+        self.uses = {r.label_id: r.uses for r in G.raw_usage(whole).collect()}  # as many as there were labels
+        numbered = whole.select("seq", F.regexp_extract(F.input_file_name(), r"epoch=(\d+)", 1).cast("int").alias("epoch"))
+        self.last = {r.epoch: r.s for r in numbered.groupBy("epoch").agg(F.max("seq").alias("s")).collect()}  # one row for each epoch
+        self.last |= {e: 0 for e in own if e not in self.last}
+
+    def append(self, records: DataFrame, t: Taxonomy, epoch: int | None = None) -> None:
+        """Records of seq latest + 1 and on, checked once written."""
+        epoch = max(self.last, default=0) + 1 if epoch is None else epoch
+        append_epoch(records, self.folder, epoch)
+        new = read_log(self.spark, self.folder, G.LOG, only=[epoch])
+        latest = self.latest + check_log(new.withColumn("seq", F.col("seq") - self.latest), t)
+        for r in G.raw_usage(new).collect():
+            self.uses[r.label_id] = self.uses.get(r.label_id, 0) + r.uses
+        self.latest = self.last[epoch] = latest
+
+    def after(self, seq: int) -> DataFrame:
+        """The epochs that hold records beyond a seq."""
+        return read_log(self.spark, self.folder, G.LOG, only=sorted(e for e, last in self.last.items() if last > seq))
+
+    def all(self) -> DataFrame:
+        return read_log(self.spark, self.folder, G.LOG, only=sorted(self.last))
+
+    def usage(self, t: Taxonomy) -> dict[str, int]:
+        """Uses of each dynamic label, counted by what ids stand for now."""
+        out = {x.id: 0 for x in t.dynamic_labels}
+        for label, n in self.uses.items():
+            if (now := t.resolve(label)) in out:
+                out[now] += n
+        return out
 
 
 # -------------------------------------------------------------- maintenance
@@ -131,21 +164,34 @@ def _chunks(items: Sequence, size: int) -> list[list]:
     return [list(items[i : i + size]) for i in range(0, len(items), size)]
 
 
-def screen_new(log: DataFrame, t: Taxonomy, m: Maintainer, latest: int) -> Taxonomy:
+def screen_new(log: DiscoveryLog, t: Taxonomy, m: Maintainer) -> Taxonomy:
     """Usage counts anew, repeats of candidates counted, new groups screened in
-    chunks; the cursor moves with the last of them, or not at all."""
-    t = t.with_usage(usage(log, t)) if t.dynamic_labels else t
-    found = G.proposal_groups(G.proposals(log, t.last_screened_seq))
-    # what passed the cursor since the last maintenance: the driver holds candidates
-    rows = found.orderBy("group_id").collect()
-    t, new = t.accumulate([Group(r.group_id, r.name, r.definition, r.support_count) for r in rows])
-    chunks = _chunks(new, t.settings.max_screening_groups)
-    answers = [screen_resiliently(m, t, c) for c in chunks]
-    if not chunks:
-        return t._with(last_screened_seq=latest)
-    for chunk, decisions in zip(chunks, answers, strict=True):
-        t = t.screen(chunk, decisions, latest)
-    return t
+    chunks; the cursor moves with the last of them, or not at all. What a maintenance
+    leaves due is what an epoch adds; more (a long stream batch, a run that broke off)
+    is gone through in parts of that size, so the driver holds no more at once."""
+    most = t.settings.screen_every + t.settings.batch_size
+    t = t.with_usage(log.usage(t)) if t.dynamic_labels else t
+    while True:
+        upto = min(log.latest, t.last_screened_seq + most)
+        found = G.proposal_groups(G.proposals(log.after(t.last_screened_seq), t.last_screened_seq).where(F.col("seq") <= upto))
+        # at most `most` documents' proposals
+        rows = found.orderBy("group_id").collect()
+        t, new = t.accumulate([Group(r.group_id, r.name, r.definition, r.support_count) for r in rows])
+        chunks = _chunks(new, t.settings.max_screening_groups)
+        answers = screen_chunks(m, t, chunks)
+        for chunk, decisions in zip(chunks, answers, strict=True):
+            t = t.screen(chunk, decisions, upto)
+        t = t._with(last_screened_seq=upto)
+        if upto >= log.latest:
+            return t
+
+
+def screen_chunks(m: Maintainer, t: Taxonomy, chunks: Sequence[Sequence[Group]]) -> list[list[dict]]:
+    """Decisions on each chunk: all asked for at once where the maintainer can, and
+    those that can't be read once more by halves."""
+    many = getattr(m, "screen_many", None)
+    answers = many(t, chunks) if many and len(chunks) > 1 else [None] * len(chunks)
+    return [screen_resiliently(m, t, c) if a is None else a for c, a in zip(chunks, answers, strict=True)]
 
 
 def consolidate_pool(spark: SparkSession, t: Taxonomy, m: Maintainer) -> Taxonomy:
@@ -183,9 +229,9 @@ def promote_eligible(t: Taxonomy, m: Maintainer) -> Taxonomy:
     return t
 
 
-def maintain(log: DataFrame, t: Taxonomy, m: Maintainer, latest: int, path: str | None = None) -> Taxonomy:
+def maintain(log: DiscoveryLog, t: Taxonomy, m: Maintainer, path: str | None = None) -> Taxonomy:
     """Screening, consolidation and promotion; saved after each, if there is a path."""
-    for step in (lambda t: screen_new(log, t, m, latest), lambda t: consolidate_pool(log.sparkSession, t, m), lambda t: promote_eligible(t, m)):
+    for step in (lambda t: screen_new(log, t, m), lambda t: consolidate_pool(log.spark, t, m), lambda t: promote_eligible(t, m)):
         t = step(t)
         if path:
             save(t, path)
@@ -230,7 +276,7 @@ def discover(docs: DataFrame, labeler: Labeler, m: Maintainer, seeds: Sequence[L
     """Runs, or resumes, discovery over docs (doc_id, text) in `folder`."""
     spark = docs.sparkSession
     state, log_dir = f"{folder}/taxonomy_state.json", f"{folder}/discovery"
-    t = load(state) if Path(state).exists() else None
+    t = load(state) if exists(state) else None
     if t is None and epochs(log_dir):
         raise TaxonomyError(f"{folder} has a log but no taxonomy")
     fresh = new_taxonomy(aspect, seeds, *([settings] if settings else []))
@@ -245,24 +291,29 @@ def discover(docs: DataFrame, labeler: Labeler, m: Maintainer, seeds: Sequence[L
         raise TaxonomyError("no documents")
     if twice := G.duplicates(docs.select("doc_id"), "doc_id").first():
         raise TaxonomyError(f"document {twice.doc_id} is there twice")
+    log = DiscoveryLog(spark, log_dir, t)
+    if t.last_screened_seq > log.latest:
+        raise TaxonomyError("the taxonomy has seen more than the log holds")
+    if max_documents is None and (orphan := G.orphans(log.all(), docs).first()):
+        raise TaxonomyError(f"the log's document {orphan.doc_id} isn't in the input")
+    # numbered and written once, in order: an epoch reads its own stretch of files
+    begin = log.latest
+    left = G.pending(docs.select("doc_id", "text"), log.all())
+    if max_documents is not None:
+        left = left.orderBy("doc_id").limit(max(0, max_documents - begin))
+    left = cut(with_index(left, "doc_id"), "pending")
+    count = left.count()
     while True:
-        log = read_log(spark, log_dir, G.LOG)
-        latest = check_log(log, t)
-        if t.last_screened_seq > latest:
-            raise TaxonomyError("the taxonomy has seen more than the log holds")
-        if latest - t.last_screened_seq >= t.settings.screen_every:
-            t = maintain(log, t, m, latest, state)
+        if log.latest - t.last_screened_seq >= t.settings.screen_every:
+            t = maintain(log, t, m, state)
             continue
-        size = epoch_size(t, latest - t.last_screened_seq)
-        if max_documents is not None:
-            size = min(size, max_documents - latest)
-        todo = G.pending(docs, log).orderBy("doc_id").limit(size) if size > 0 else None
-        if todo is None or todo.isEmpty():
+        done = log.latest - begin
+        size = min(epoch_size(t, log.latest - t.last_screened_seq), count - done)
+        if size <= 0:
             break
-        append_epoch(label_epoch(todo, labeler, t, latest + 1), log_dir, max(epochs(log_dir), default=0) + 1)
-    if max_documents is None and (orphan := G.orphans(log, docs).first()):
-        raise TaxonomyError(f"the log's document {orphan.doc_id} isn't in the input")
-    t = maintain(log, t, m, latest, state)
+        todo = left.where((F.col("pos") >= done) & (F.col("pos") < done + size)).select("doc_id", "text")
+        log.append(label_epoch(todo, labeler, t, log.latest + 1), t)
+    t = maintain(log, t, m, state)
     if not freeze:
         return t
     t = finish(spark, t, m)

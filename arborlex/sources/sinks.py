@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from arborlex.operators.taxonomy import write_atomically
+from arborlex.operators.storage import child_names, exists, read_text, write_text
 
 
 def append_epoch(log: DataFrame, folder: str, epoch: int) -> None:
@@ -16,12 +16,14 @@ def append_epoch(log: DataFrame, folder: str, epoch: int) -> None:
 
 
 def epochs(folder: str) -> list[int]:
-    return sorted(int(p.name[6:]) for p in Path(folder).glob("epoch=*") if (p / "_SUCCESS").exists())
+    """Those written to the end, in whatever file system the folder is."""
+    found = (n for n in child_names(folder) if n.startswith("epoch="))
+    return sorted(int(n[6:]) for n in found if exists(f"{folder}/{n}/_SUCCESS"))
 
 
-def read_log(spark: SparkSession, folder: str, schema: str, after: int | None = None) -> DataFrame:
-    """All finished epochs (those after `after` only: the others aren't touched)."""
-    paths = [f"{folder}/epoch={e}" for e in epochs(folder) if after is None or e > after]
+def read_log(spark: SparkSession, folder: str, schema: str, after: int | None = None, only: list[int] | None = None) -> DataFrame:
+    """All finished epochs (those after `after`, or in `only`: the others aren't touched)."""
+    paths = [f"{folder}/epoch={e}" for e in (epochs(folder) if only is None else only) if after is None or e > after]
     return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
 
@@ -35,11 +37,10 @@ def write_jsonl(df: DataFrame, path: str) -> None:
 
 def ensure_metadata(path: str | Path, expected: dict, ignore: tuple[str, ...] = ("created_at_unix",)) -> None:
     """Create the sidecar, or require that it says the same."""
-    path = Path(path)
-    if not path.exists():
-        write_atomically(path, json.dumps(expected, ensure_ascii=False, sort_keys=True, indent=2))
+    if not exists(path):
+        write_text(path, json.dumps(expected, ensure_ascii=False, sort_keys=True, indent=2))
         return
-    found = json.loads(path.read_text(encoding="utf-8"))
+    found = json.loads(read_text(path))
     differing = sorted(k for k in {*found, *expected} - {*ignore} if found.get(k) != expected.get(k))
     if differing:
         raise ValueError(f"{path} is from another run: {', '.join(differing)} differ")

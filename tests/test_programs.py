@@ -159,3 +159,45 @@ def test_batch_classifier(spark, tmp_path):
         classify_to(docs, out, logits, {})
     classify_to(docs, out, logits, {0: "long", "1": "short"}, short=True, resume=True)
     assert {r.doc_id: r.predicted_label for r in spark.read.json(out).collect()} == {"a": "short", "b": "long"}
+
+
+def test_a_run_reads_its_log_once(spark, tmp_path, monkeypatch):
+    read = []
+    whole = D.read_log
+    monkeypatch.setattr(D, "read_log", lambda s, f, schema, after=None, only=None: read.append(list(only)) or whole(s, f, schema, after, only))
+    docs = spark.createDataFrame([(f"doc-{i:02d}", "Document 1 text.") for i in range(12)], "doc_id string, text string")
+    t = D.discover(docs, ReplayLabeler({"Document 1 text.": (["L001"], [QUANTUM])}), D.KeepAll(), SEEDS, "topic", str(tmp_path), SETTINGS, freeze=False)
+    assert t.last_screened_seq == 12 and epochs(f"{tmp_path}/discovery") == [1, 2, 3, 4, 5, 6]
+    # at the start the log is empty; an epoch is read when it is added and when its proposals are due
+    assert [r for r in read if len(r) > 1] == [] and max(read.count(r) for r in read if r) <= 3
+    assert [(x.name, x.usage_count) for x in t.dynamic_labels] == [("Quantum computing", 0)]
+
+
+def test_long_lags_are_screened_in_parts(spark, tmp_path):
+    seen = []
+
+    class Counting(D.KeepAll):
+        def screen(self, t, groups):
+            seen.append(len(groups))
+            return super().screen(t, groups)
+
+    docs = spark.createDataFrame([(f"doc-{i}", f"Text {i}") for i in range(9)], "doc_id string, text string")
+    t = new_taxonomy("topic", SEEDS, SETTINGS)
+    log = D.DiscoveryLog(spark, f"{tmp_path}/discovery", t)
+    labeler = ReplayLabeler({f"Text {i}": (["L001"], [{"name": f"Name {i}", "definition": "x"}]) for i in range(9)})
+    log.append(D.label_epoch(docs, labeler, t, 1), t)
+    t = D.screen_new(log, t, Counting())
+    assert t.last_screened_seq == 9 and seen == [4, 4, 1] and len(t.candidates) == 9
+    again = D.DiscoveryLog(spark, f"{tmp_path}/discovery", t)
+    assert (again.latest, again.uses, again.last) == (9, {"L001": 9}, {1: 9})
+
+
+def test_a_folder_of_another_file_system(spark, tmp_path):
+    (tmp_path / "far").mkdir()
+    spark._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.test.link./run", f"file://{tmp_path}/far")
+    folder = "viewfs://test/run/topics"
+    t = D.discover(corpus(spark), ReplayLabeler(ANSWERS), D.KeepAll(), SEEDS, "topic", folder, SETTINGS, max_documents=2, freeze=False)
+    assert epochs(f"{folder}/discovery") == [1] and load(f"{folder}/taxonomy_state.json").last_screened_seq == 2
+    t = D.discover(corpus(spark), ReplayLabeler(ANSWERS), D.KeepAll(), SEEDS, "topic", folder, SETTINGS)
+    assert t.frozen and load(f"{folder}/taxonomy_state.json").digest() == t.digest()
+    assert epochs(f"{folder}/discovery") == [1, 2]
