@@ -1,10 +1,16 @@
 """Approximate nearest neighbours by a navigable small-world graph for each shard (op4).
 
 Vectors that are equal are one point of the index, with the smallest ids that a
-result can hold. Points are spread over shards by a hash. Each shard builds a
-hierarchical graph, kept as flat arrays (levels, an offset for each level, and
-fixed-width neighbour rows) in a table with its vectors. Every query vector visits
-every shard in blocks; the shards' nearest are merged.
+result can hold. Points are dealt to cells by the nearest of some centroids, fitted on
+a bounded sample, and cells to shards of at most SHARD_POINTS points by a hash, so a
+crowded cell is several shards. Each shard builds a hierarchical graph, kept as flat
+arrays (levels, an offset for each level, and fixed-width neighbour rows) in a table
+with its vectors. A query visits the shards of its nearest cells, in blocks of queries;
+their nearest are merged.
+
+How many cells that takes is measured: the exact neighbours of CALIBRATE queries are
+looked up among all points, and as many cells are visited as hold COVERED of them.
+Vectors in clusters need few; those without any structure need nearly all, and get them.
 
 Inner product is searched as cosine: each shard adds one coordinate that gives all
 of its points the same length, which keeps the order of inner products. Points are
@@ -14,7 +20,7 @@ in double precision.
 
 Defined results: vectors that are null, empty, zero, or hold null or non-finite
 components take no part, nor do those whose length isn't the most frequent one's;
-rows of equal vectors are ranked by id; a query isn't its own candidate, but other
+rows of equal vectors are ranked by id; a query's row isn't its own candidate, but other
 rows with its id or vector are; null ids take no part; repeated rows (id and vector)
 are one candidate; fewer than k candidates give fewer rows; an empty table gives an
 empty one; other columns are not read.
@@ -32,11 +38,15 @@ from pyspark.sql import functions as F
 
 from arborlex.llm.common import cut, mix, narrow_join
 
-#: Most points of a shard (its arrays take some 600 bytes a point at 64 dimensions).
-SHARD_POINTS = 65_536
-SHARDS_LEAST = 8
+#: Most points of a shard (its arrays take some 700 bytes a point at 64 dimensions).
+SHARD_POINTS = 8_192
+CELLS_LEAST, CELLS_MOST = 8, 1_024
+#: Vectors on which centroids are fitted, and queries on which the visits are measured.
+SAMPLE, CALIBRATE, COVERED = 16_384, 64, 0.99
 M, EF_BUILD, EF_SEARCH = 16, 80, 128
-QUERY_BLOCK = 1_024
+#: The beam is at least this part of a shard's points.
+BEAM_PART = 32
+QUERY_BLOCK = 4_096
 
 
 # --------------------------------------------------------------------- graph
@@ -224,82 +234,164 @@ def usable(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding") -
 
 
 def points(rows: DataFrame, k: int) -> DataFrame:
-    """rep, v, ids: distinct vectors, with the k + 1 smallest of their ids: no result
-    can hold more of them."""
+    """rep, v, ids: distinct vectors with a number of their own, and the k + 1 smallest of
+    their ids: no result can hold more of them."""
     w = W.partitionBy("v").orderBy("vec_id")
-    return rows.distinct().withColumn("r", F.row_number().over(w)).where(F.col("r") <= k + 1).groupBy("v").agg(F.min("vec_id").alias("rep"), F.array_sort(F.collect_list("vec_id")).alias("ids"))
+    return rows.distinct().withColumn("r", F.row_number().over(w)).where(F.col("r") <= k + 1).groupBy("v").agg(F.xxhash64(F.min("vec_id"), "v").alias("rep"), F.array_sort(F.collect_list("vec_id")).alias("ids"))
+
+
+def centroids(sample: np.ndarray, cells: int, rounds: int = 8) -> np.ndarray:
+    """Means of the sample's points on the sphere, each point with its nearest mean."""
+    c = sample[np.linspace(0, len(sample) - 1, min(cells, len(sample))).astype(int)]
+    for _ in range(rounds):
+        own = _nearest_cells(sample, c, 1)[:, 0]
+        size = np.bincount(own, minlength=len(c))
+        sums = np.zeros_like(c)
+        np.add.at(sums, own, sample)
+        c = np.where(size[:, None] > 0, sums / np.maximum(size, 1)[:, None], c)
+    return c
+
+
+def _nearest_cells(points: np.ndarray, c: np.ndarray, k: int) -> np.ndarray:
+    """The k nearest centroids of each point, nearest first."""
+    far = (c * c).sum(1)[None, :] - 2 * points.astype(np.float64) @ c.T
+    return np.argsort(far, 1, kind="stable")[:, :k]
+
+
+def _lifted(queries: np.ndarray) -> np.ndarray:
+    """Queries of length 1, on the sphere's equator."""
+    return np.hstack([queries / np.linalg.norm(queries, axis=1, keepdims=True), np.zeros((len(queries), 1))]).astype(np.float32)
+
+
+def _matrix(column: pd.Series) -> np.ndarray:
+    return np.array(column.tolist(), dtype=np.float64)
+
+
+def in_cells(pts: DataFrame, c: np.ndarray, longest: float) -> DataFrame:
+    """pts with the cell of each."""
 
+    @F.pandas_udf("int")
+    def cell(v: pd.Series) -> pd.Series:
+        return pd.Series(_nearest_cells(unit(_matrix(v), longest), c, 1)[:, 0].astype(np.int32) if len(v) else [], dtype="int32")
 
-def build(pts: DataFrame, shards: int) -> DataFrame:
+    return pts.withColumn("cell", cell("v"))
+
+
+def cells_needed(pts: DataFrame, queries: np.ndarray, c: np.ndarray, k: int, covered: float = COVERED) -> int:
+    """As many nearest cells as hold this part of the exact neighbours of the queries:
+    all points are compared with them, each partition gives its best."""
+
+    def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if not len(batch):
+                continue
+            s = queries @ _matrix(batch["v"]).T
+            top = np.argsort(-s, 1, kind="stable")[:, : k + 1]  # the query's own point is one of them
+            q = np.repeat(np.arange(len(queries)), top.shape[1])
+            yield pd.DataFrame({"q": q, "s": np.take_along_axis(s, top, 1).ravel(), "cell": batch["cell"].to_numpy()[top].ravel()})
+
+    rows = pts.select("v", "cell").mapInPandas(best, "q int, s double, cell int")
+    w = W.partitionBy("q").orderBy(F.desc("s"))
+    near = rows.withColumn("r", F.row_number().over(w)).where(F.col("r") <= k + 1).select("q", "cell").collect()  # CALIBRATE x (k + 1) rows
+    place = np.argsort(_nearest_cells(_lifted(queries), c, len(c)), 1)
+    ranks = np.sort([place[r.q, r.cell] for r in near])
+    return int(ranks[min(len(ranks) - 1, int(np.ceil(covered * len(ranks))) - 1)]) + 1 if len(ranks) else len(c)
+
+
+def build(spread: DataFrame) -> DataFrame:
     """One row for each shard: its points and graph as flat arrays."""
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("rep")
-        v = np.array(pdf["v"].tolist(), dtype=np.float64)
+        v = _matrix(pdf["v"])
         longest = float(np.sqrt(np.einsum("ij,ij->i", v, v)).max())
         g = Graph(unit(v, longest))
         ids = pdf["ids"].tolist()
-        row = {"shard": int(pdf["shard"].iloc[0]), "dim": v.shape[1], "longest": longest, "vectors": v.tobytes(), "id_counts": np.array([len(i) for i in ids], np.int32).tobytes(), "ids": np.concatenate(ids).astype(np.int64).tobytes()}
+        row = {"shard": int(pdf["shard"].iloc[0]), "dim": v.shape[1], "longest": longest, "vectors": v.tobytes(), "reps": pdf["rep"].to_numpy(np.int64).tobytes(), "id_counts": np.array([len(i) for i in ids], np.int32).tobytes(), "ids": np.concatenate(ids).astype(np.int64).tobytes()}
         return pd.DataFrame([row | g.to_arrays()])
 
-    schema = "shard int, dim int, longest double, vectors binary, id_counts binary, ids binary, levels binary, links binary"
-    spread = pts.withColumn("shard", F.pmod(F.xxhash64("rep"), F.lit(shards)).cast("int"))
+    schema = "shard int, dim int, longest double, vectors binary, reps binary, id_counts binary, ids binary, levels binary, links binary"
     return spread.groupBy("shard").applyInPandas(one, schema)
 
 
-def search(index: DataFrame, queries: DataFrame, k: int, ef: int = EF_SEARCH, shards: int = SHARDS_LEAST) -> DataFrame:
-    """query (its rep), vec_id, score: for each query vector every shard's k + 1
-    nearest ids. A shard meets its queries in blocks of QUERY_BLOCK."""
+def search(index: DataFrame, queries: DataFrame, k: int, blocks: int = 1, ef: int = EF_SEARCH) -> DataFrame:
+    """query (its rep), vec_id, own (whether of the query's own vector), score: for each
+    query vector the k + 1 nearest ids of every shard it is sent to. queries: rep, v,
+    shard. A shard meets its queries in blocks."""
 
     def visit(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        columns = ["query", "vec_id", "score"]
+        columns = ["query", "vec_id", "own", "score"]
         if not len(left) or not len(right):
-            return pd.DataFrame({c: [] for c in columns}).astype({"query": "int64", "vec_id": "int64", "score": "float64"})
+            return pd.DataFrame({c: [] for c in columns}).astype({"query": "int64", "vec_id": "int64", "own": "bool", "score": "float64"})
         s = left.iloc[0]
         v = np.frombuffer(s["vectors"], np.float64).reshape(-1, int(s["dim"]))
         g = Graph.from_arrays(unit(v, s["longest"]), s["levels"], s["links"])
+        reps = np.frombuffer(s["reps"], np.int64)
         counts = np.frombuffer(s["id_counts"], np.int32)
         ids, first = np.frombuffer(s["ids"], np.int64), np.concatenate([[0], np.cumsum(counts)])
         found = []
         step = max(16, min(256, 32_000_000 // max(1, len(v))))  # bounds the table of visited points
         for at in range(0, len(right), step):
             part = right.iloc[at : at + step]
-            q = np.array(part["v"].tolist(), dtype=np.float64)
-            lifted = np.hstack([q / np.linalg.norm(q, axis=1, keepdims=True), np.zeros((len(q), 1))]).astype(np.float32)
-            near, _ = g.nearest(lifted, k + 1, ef)
+            q = _matrix(part["v"])
+            near, _ = g.nearest(_lifted(q), k + 1, max(ef, len(v) // BEAM_PART))
             for rep, own, row in zip(part["rep"], q, near, strict=True):
                 row = row[row >= 0]
                 exact = (v[row] * own).sum(1)
                 flat_s = np.repeat(exact, counts[row])
                 flat_i = np.concatenate([ids[first[p] : first[p + 1]] for p in row]) if len(row) else np.zeros(0, np.int64)
                 best = np.lexsort((flat_i, -flat_s))[: k + 1]
-                found.append((np.full(len(best), rep), flat_i[best], flat_s[best]))
+                found.append((np.full(len(best), rep), flat_i[best], np.repeat(reps[row] == rep, counts[row])[best], flat_s[best]))
         return pd.DataFrame({c: np.concatenate(x) for c, x in zip(columns, zip(*found, strict=True), strict=True)})
 
-    blocks = max(1, -(-queries.count() // QUERY_BLOCK))
-    # every block of queries meets every shard: blocks x shards tasks, not pairs of vectors
-    tasks = queries.withColumn("block", F.pmod(F.xxhash64("rep"), F.lit(blocks)).cast("int")).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+    tasks = queries.withColumn("block", F.pmod(F.xxhash64("rep"), F.lit(blocks)).cast("int"))
     copies = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    return copies.groupBy("shard", "block").cogroup(tasks.groupBy("shard", "block")).applyInPandas(visit, "query long, vec_id long, score double")
+    return copies.groupBy("shard", "block").cogroup(tasks.groupBy("shard", "block")).applyInPandas(visit, "query long, vec_id long, own boolean, score double")
+
+
+def _sent(queries: DataFrame, c: np.ndarray, visits: int, first: list[int], parts: list[int]) -> DataFrame:
+    """queries (rep, v) with each shard of their nearest cells. A cell's shards are
+    numbered from `first`, `parts` of them."""
+
+    @F.pandas_udf("array<int>")
+    def shards(v: pd.Series) -> pd.Series:
+        near = _nearest_cells(_lifted(_matrix(v)), c, visits) if len(v) else []
+        return pd.Series([[first[x] + i for x in row for i in range(parts[x])] for row in near], dtype=object)
+
+    return queries.withColumn("shard", F.explode(shards("v")))
 
 
-def nearest(vectors: DataFrame, every: int = 20, k: int = 20, key: str = "vec_id", vector: str = "embedding", shard_points: int = SHARD_POINTS, ef: int = EF_SEARCH) -> DataFrame:
+def nearest(vectors: DataFrame, every: int = 20, k: int = 20, key: str = "vec_id", vector: str = "embedding", shard_points: int = SHARD_POINTS, ef: int = EF_SEARCH, covered: float = COVERED) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest rows found for every row whose
     id is divisible by `every`."""
     rows = cut(usable(vectors, key, vector), "vectors")
     pts = cut(points(rows, k), "points")
-    shards = max(SHARDS_LEAST, -(-pts.count() // shard_points))
-    index = cut(build(pts, shards), "index")
+    size = pts.agg(F.count(F.lit(1)).alias("n"), F.sqrt(F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))).alias("longest")).first()
     asked = rows.where(F.col("vec_id") % every == 0).distinct()
     reps = pts.select(F.col("v").alias("pv"), "rep")
     named = cut(narrow_join(asked, reps, F.col("v") == F.col("pv"), limit=100_000).select("vec_id", "rep"), "asked")
     wanted = cut(named.select("rep").distinct(), "wanted")
-    queries = narrow_join(pts.select("rep", "v"), wanted, "rep", "left_semi")
-    found = search(index, queries, k, ef, shards)
+    if not size.n or not (count := wanted.count()):
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    queries = cut(narrow_join(pts.select("rep", "v"), wanted, "rep", "left_semi"), "queries")
+    some = lambda df, n: np.array([r.v for r in df.orderBy(F.xxhash64("rep"), "rep").limit(n).select("v").collect()])
+    # SAMPLE and CALIBRATE vectors on the driver
+    c = centroids(unit(some(pts, SAMPLE), size.longest), min(CELLS_MOST, max(CELLS_LEAST, -(-size.n // shard_points))))
+    placed = cut(in_cells(pts, c, size.longest), "cells")
+    held = {r.cell: r.n for r in placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}  # CELLS_MOST rows
+    parts = [-(-held.get(x, 0) // shard_points) for x in range(len(c))]
+    first = np.concatenate([[0], np.cumsum(parts)]).astype(int).tolist()
+    at = lambda values: F.element_at(F.array(*map(F.lit, values)), F.col("cell") + 1)
+    index = cut(build(placed.withColumn("shard", (at(first) + F.pmod(F.xxhash64("rep"), at(parts))).cast("int"))), "index")
+    visits = cells_needed(placed, some(queries, CALIBRATE), c, k, covered)
+    sent = cut(_sent(queries, c, visits, first, parts), "sent")
+    blocks = max(1, -(-count * visits // (len(c) * QUERY_BLOCK)))
+    found = search(index, sent, k, blocks, ef)
     w = W.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     best = found.withColumn("r", F.row_number().over(w)).where(F.col("r") <= k + 1)
-    best = cut(best.groupBy("query").agg(F.array_sort(F.collect_list(F.struct("r", "vec_id", "score"))).alias("near")), "best")
+    best = cut(best.groupBy("query").agg(F.array_sort(F.collect_list(F.struct("r", "vec_id", "own", "score"))).alias("near")), "best")
     joined = narrow_join(named, best, F.col("rep") == F.col("query"), limit=100_000)
-    other = F.slice(F.filter("near", lambda x: x["vec_id"] != F.col("vec_id")), 1, k)
+    # the query's own row, and no other, is left out
+    other = F.slice(F.filter("near", lambda x: ~(x["own"] & (x["vec_id"] == F.col("vec_id")))), 1, k)
     out = joined.select(F.col("vec_id").alias("query_id"), F.posexplode(other).alias("pos", "c"))
     return out.select("query_id", (F.col("pos") + 1).cast("int").alias("rank"), F.col("c.vec_id").alias("vec_id"), F.col("c.score").alias("score"))

@@ -462,6 +462,51 @@ def test_nearest(spark):
     assert hnsw.nearest(df.limit(0)).count() == 0
 
 
+def _recall(spark, v, **options):
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in hnsw.nearest(df, **options).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hit = 0
+    for q in range(0, len(v), options.get("every", 20)):
+        s = v @ v[q]
+        s[q] = -np.inf
+        hit += len(got[q] & set(np.argsort(-s)[:20].tolist()))
+    return hit / (20 * len(got))
+
+
+def test_recall_in_full_shards(spark):
+    # the hard case: 64 dimensions without any structure, graphs far larger than the beam
+    rng = np.random.default_rng(6)
+    v = rng.normal(size=(hnsw.SHARD_POINTS, 64))
+    x = hnsw.unit(v, float(np.linalg.norm(v, axis=1).max()))
+    g = hnsw.Graph(x)
+    q = v[::64]
+    near, _ = g.nearest(hnsw._lifted(q), 21, max(hnsw.EF_SEARCH, len(v) // hnsw.BEAM_PART))
+    want = np.argsort(-(q @ v.T), 1)[:, :21]
+    assert np.mean([len(set(a) & set(b)) / 21 for a, b in zip(near, want, strict=True)]) >= 0.9
+
+
+def test_queries_visit_the_cells_that_they_need(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    visits = []
+    needed = hnsw.cells_needed
+    monkeypatch.setattr(hnsw, "cells_needed", lambda *a: visits.append(needed(*a)) or visits[-1])
+    centers = rng.normal(size=(12, 16)) * 6
+    clusters = np.concatenate([c + rng.normal(size=(150, 16)) for c in centers])
+    crowd = np.concatenate([clusters, centers[0] + rng.normal(size=(700, 16))])  # a third in one cell
+    assert _recall(spark, crowd, every=5, shard_points=200) >= 0.95
+    assert _recall(spark, rng.normal(size=(1500, 16)), every=5, shard_points=200) >= 0.95
+    assert visits[0] < visits[1]
+
+
+def test_other_rows_of_a_querys_id_are_candidates(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.9, 0.1]), (0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 1.0])]
+    out = hnsw.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).orderBy("rank").collect()
+    by_first = [[(r.vec_id, round(r.score, 2)) for r in out if r.rank == k] for k in (1, 2, 3)]
+    assert sorted(by_first[0]) == [(0, 0.9), (1, 1.0)] and sorted(by_first[1]) == [(0, 0.9), (1, 0.9)] and len(out) == 6
+
+
 def test_flat_arrays_hold_the_graph():
     x = hnsw.unit(np.random.default_rng(1).normal(size=(300, 8)), 10.0)
     g = hnsw.Graph(x)
