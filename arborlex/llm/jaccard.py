@@ -39,12 +39,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arborlex.llm.common import chunks, cut, fits_broadcast, mix, narrow_join, slices, token_hashes, unused, windows
+from arborlex.llm.common import block_count, by_block, chunks, cut, fits_broadcast, mix, narrow_join, slices, token_hashes, unused, windows
 from arborlex.llm.components import components
 
 WORDS = 5
 RESERVE = 48
 _FLUSH = 200_000
+#: Entries of a block, of some 16 bytes each; and how many classes of one batch have to
+#: list a shingle for it to be dealt by class.
+BLOCK = 2_000_000
+HOT = 64
 _SHORT = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -104,7 +108,7 @@ def document_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -
 # -------------------------------------------------------------------- blocks
 
 
-def _packer(blocks: int, reserve: int):
+def _packer(blocks: int, reserve: int, most: int):
     """From texts (column text), or from sets (fp, s)."""
 
     def sets_of(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
@@ -122,6 +126,19 @@ def _packer(blocks: int, reserve: int):
             lengths = np.array([len(x) for x in lists])
             h, of = np.concatenate(lists), np.repeat(np.arange(len(lists)), lengths)
             block = (h % np.uint64(blocks)).astype(np.int64)
+            # what so many classes list is shared, whoever else lists it: dealt by class.
+            # Two of them go the usual way, too, so that a single one elsewhere is met
+            _, at, held = np.unique(h, return_inverse=True, return_counts=True)
+            hot = np.flatnonzero(held[at] > most)
+            if len(hot):
+                by = hot[np.lexsort((of[hot], at[hot]))]
+                starts = np.flatnonzero(np.concatenate([[True], at[by][1:] != at[by][:-1]]))
+                two = np.concatenate([by[starts], by[starts + 1]])
+                usual = np.ones(len(h), bool)
+                usual[hot] = False
+                usual[two] = True
+                salted = blocks + (mix(np.array([m[0] for m in meta], np.int64).view(np.uint64))[of[hot]] % np.uint64(blocks)).astype(np.int64)
+                h, of, block = np.concatenate([h[usual], h[hot]]), np.concatenate([of[usual], of[hot]]), np.concatenate([block[usual], salted])
             order = np.lexsort((of, block))
             h, of, block = h[order], of[order], block[order]
             fp, n = np.array([m[0] for m in meta], np.int64), np.array([m[1] for m in meta], np.int32)
@@ -158,38 +175,34 @@ def _unpack(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return h, np.repeat(fp, count), np.repeat(n, count)
 
 
-def _shared(parts: list[bytes]) -> pd.DataFrame:
-    """Entries of a block whose shingle two or more classes list."""
+def _shared(parts: list[bytes], hot: bool) -> pd.DataFrame:
+    """Entries of a block whose shingle two or more classes list: of a hot one, all."""
     h, fp, n = (np.concatenate(x) for x in zip(*map(_unpack, parts), strict=True))
     order = np.lexsort((fp, h))
     h, fp, n = h[order], fp[order], n[order]
     new = np.concatenate([[True], (h[1:] != h[:-1]) | (fp[1:] != fp[:-1])])
     h, fp, n = h[new], fp[new], n[new]
     same = h[1:] == h[:-1]
-    keep = np.concatenate([[False], same]) | np.concatenate([same, [False]])
+    keep = np.concatenate([[False], same]) | np.concatenate([same, [False]]) | hot
     return pd.DataFrame({"h": h[keep].astype(np.int64), "fp": fp[keep], "n": n[keep].astype(np.int64)})
 
 
-def _multiply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    at, parts = None, []
-    for batch in batches:
-        for block, data in zip(batch["block"], batch["data"], strict=True):
-            if block != at and parts:
-                yield _shared(parts)
-                parts = []
-            at = block
-            parts.append(data)
-    if parts:
-        yield _shared(parts)
+def _multiply(blocks: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, parts in by_block(batches):
+            yield pa.RecordBatch.from_pandas(_shared(parts, block >= blocks), preserve_index=False)
+
+    return run
 
 
-def shared_entries(source: DataFrame, reserve: int = RESERVE) -> DataFrame:
-    """h, fp, n: listed shingles that more than one class lists. source: text, or
-    fp and s (the whole set)."""
-    partitions = int(source.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    packed = source.mapInArrow(_packer(partitions, reserve), "block int, data binary")
-    blocks = packed.repartition(partitions, "block").sortWithinPartitions("block")
-    return blocks.mapInPandas(_multiply, "h long, fp long, n long")
+def shared_entries(source: DataFrame, reserve: int = RESERVE, entries: int = 0, hot: int = HOT) -> DataFrame:
+    """h, fp, n: listed shingles that more than one class lists (those of hot shingles
+    may come twice, which no bound minds: they ask for a least number of them). source: text, or fp
+    and s (the whole set); entries: how many are listed, for the size of blocks."""
+    blocks = block_count(source.sparkSession, entries, BLOCK)
+    packed = source.mapInArrow(_packer(blocks, reserve, hot), "block int, data binary")
+    dealt = packed.repartition(blocks, "block").sortWithinPartitions("block")
+    return dealt.mapInArrow(_multiply(blocks), "h long, fp long, n long")
 
 
 # ------------------------------------------------------------------ checking
@@ -299,20 +312,6 @@ def _unblob(parts: list[bytes], kinds: tuple) -> list[np.ndarray]:
     return [np.concatenate(c) for c in out]
 
 
-def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[list[bytes]]:
-    """The data of each block, from rows sorted by block."""
-    at, parts = None, []
-    for batch in batches:
-        for block, data in zip(batch.column("block").to_pylist(), batch.column("data").to_pylist(), strict=True):
-            if block != at and parts:
-                yield parts
-                parts = []
-            at = block
-            parts.append(data)
-    if parts:
-        yield parts
-
-
 _ENTRY = (np.uint64, np.int64, np.int64, np.int32)
 
 
@@ -321,7 +320,7 @@ def _mixed(outs: int):
     of (ordered) pairs across groups that it would make; by class."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for parts in _by_block(batches):
+        for _, parts in by_block(batches):
             h, fp, g, n = _unblob(parts, _ENTRY)
             order = np.lexsort((fp, g, h))
             h, fp, g, n = h[order], fp[order], g[order], n[order]
@@ -350,7 +349,7 @@ def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of each class with 80 % of its set in such entries, the rarest of them: what a
     linked class must share one of. What only one group has comes before all and
     matches nothing."""
-    for parts in _by_block(batches):
+    for _, parts in by_block(batches):
         h, fp, g, n, w = _unblob(parts, (*_ENTRY, np.float64))
         order = np.lexsort((h, w, fp))
         h, fp, g, n = h[order], fp[order], g[order], n[order].astype(np.int64)
@@ -372,10 +371,11 @@ def across(entries: DataFrame, sets: DataFrame, groups: DataFrame, reserve: int)
     named = cut(narrow_join(entries, groups, "fp", "left").select("h", "fp", "n", F.coalesce("g", "fp").alias("g")), "named")
     # a class that shares too few listed entries with other groups has no link to them
     several = cut(named.groupBy("h").agg(F.min("g").alias("a"), F.max("g").alias("b")).where("a < b").select("h"), "several")
-    open_ = named.join(several, "h", "left_semi").groupBy("fp", "n", "g").agg(F.count(F.lit(1)).alias("m")).where(f"m >= {_fewest(reserve)}").select("fp", "g")
+    open_ = named.join(several, "h", "left_semi").groupBy("fp", "n", "g").agg(F.count(F.lit(1)).alias("m")).where(f"m >= {_fewest(reserve)}").select("fp", "g", "n")
     # of the others, whole sets
-    parts = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    whole = narrow_join(sets.select("fp", "s"), cut(open_, "open"), "fp").select("fp", "g", "s")
+    open_ = cut(open_, "open")
+    parts = block_count(sets.sparkSession, open_.agg(F.sum("n")).first()[0] or 0, BLOCK)
+    whole = narrow_join(sets.select("fp", "s"), open_.select("fp", "g"), "fp").select("fp", "g", "s")
     dealt = lambda df: df.repartition(parts, "block").sortWithinPartitions("block")
     mixed = dealt(whole.mapInArrow(_grouped_packer(parts), "block int, data binary")).mapInArrow(_mixed(parts), "block int, data binary")
     rows = cut(dealt(mixed).mapInArrow(_prefixes, ", ".join(f"{c} long" for c in _PREFIX)), "prefix")
@@ -391,9 +391,10 @@ def across(entries: DataFrame, sets: DataFrame, groups: DataFrame, reserve: int)
     return cut(links_among(rest, sets), "links")
 
 
-def class_links(docs: DataFrame, classes: DataFrame, reserve: int = RESERVE, key: str = "doc_id", text: str = "text") -> DataFrame:
+def class_links(docs: DataFrame, classes: DataFrame, reserve: int = RESERVE, hot: int = HOT, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Links (a, b) between classes: enough of them to give all components."""
-    entries = cut(shared_entries(docs.select(F.col(text).alias("text")), reserve), "entries")
+    listed = classes.where("n > 0").agg(F.sum(F.expr(_sql_listed("n", reserve)))).first()[0] or 0
+    entries = cut(shared_entries(docs.select(F.col(text).alias("text")), reserve, listed, hot), "entries")
     able = cut(entries.groupBy("fp", "n").agg(F.count(F.lit(1)).alias("c")).where(f"c >= {_fewest(reserve)}").select("fp"), "able")
     entries = cut(narrow_join(entries, able, "fp", "left_semi"), "entries")
 
@@ -413,10 +414,10 @@ def class_links(docs: DataFrame, classes: DataFrame, reserve: int = RESERVE, key
     return links.union(across(entries, sets, groups, reserve))
 
 
-def similar_components(docs: DataFrame, reserve: int = RESERVE, key: str = "doc_id", text: str = "text", with_class: bool = False) -> DataFrame:
+def similar_components(docs: DataFrame, reserve: int = RESERVE, hot: int = HOT, key: str = "doc_id", text: str = "text", with_class: bool = False) -> DataFrame:
     """doc_id, n_shingles, component_id of every row (and its class, fp)."""
     classes = cut(document_classes(docs, key, text), "classes")
-    groups = cut(components(class_links(docs, classes, reserve, key, text)), "groups").withColumnsRenamed({"node": "fp", "component": "g"})
+    groups = cut(components(class_links(docs, classes, reserve, hot, key, text)), "groups").withColumnsRenamed({"node": "fp", "component": "g"})
     named = cut(narrow_join(classes, groups, "fp", "left").withColumn("g", F.coalesce("g", "fp")), "documents")
     first = named.where("n > 0").groupBy("g").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("c")).where("c > 1").select("g", "first", F.lit(True).alias("some"))
     out = narrow_join(named, cut(first, "first"), "g", "left")

@@ -120,11 +120,24 @@ def site_posteriors(scored: DataFrame, host: str = "host", path: str = "path", p
     return cut(joined.select(F.col(host).alias("_host"), F.col(path).alias("_path"), "host_mean", ((F.col("k") + m * F.col("host_mean")) / (F.col("n") + m)).alias("path_mean")), "paths"), mean
 
 
-def score_quality(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang", label: str = "quality", sample: int = SAMPLE, threshold: float = THRESHOLD, key: str = "doc_id", text: str = "text") -> DataFrame:
+def site_columns(docs: DataFrame, host: str | None = None, path: str | None = None, url: str = "url") -> tuple[Column, Column]:
+    """Host and path of each row: the columns named, or else those of its url (the host
+    in lower case, without user, port and a leading www; the first part of the path), or
+    else, in a table without urls, its source for host and its language for path: the
+    sites within which documents are alike there. What a table hasn't is null."""
+    if url in docs.columns and not (host or path):
+        at = F.regexp_extract(F.lower(url), r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?(?:www\.)?([^/?#:]+)", 1)
+        return F.nullif(at, F.lit("")), F.nullif(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^/?#]*)", 1), F.lit(""))
+    own = lambda c, other: F.col(c or other) if (c or other) in docs.columns else F.lit(None).cast("string")
+    return own(host, "source"), own(path, "lang")
+
+
+def score_quality(docs: DataFrame, labels: DataFrame, host: str | None = None, path: str | None = None, label: str = "quality", sample: int = SAMPLE, threshold: float = THRESHOLD, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, held_out, evidence, host_mean, path_mean, score, keep of every row."""
     w = fit(docs, labels, label, sample, key, text)
     z = document_evidence(w, text)
-    narrow = docs.select(F.col(key).alias("doc_id"), held_out(key).alias("held_out"), F.col(host).alias("host"), F.col(path).alias("path"), z.alias("z"))
+    where, below = site_columns(docs, host, path)
+    narrow = docs.select(F.col(key).alias("doc_id"), held_out(key).alias("held_out"), where.alias("host"), below.alias("path"), z.alias("z"))
     narrow = cut(narrow.withColumn("p", 1 / (1 + F.exp(-F.col("z")))), "scored")
     sites, mean = site_posteriors(narrow)
     logit = lambda c: F.log(c / (1 - c))

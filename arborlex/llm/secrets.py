@@ -42,19 +42,31 @@ SHORTEST = 20
 
 
 def default_vocabulary() -> str:
+    """The file in the folder of public vocabularies; any other path can be given."""
     import public_tokenizers
 
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
-def encoder(path: str):
-    """How many tokens a string takes under the ranks in a .tiktoken file."""
+def read_vocabulary(path: str) -> tuple[bytes, str]:
+    """A .tiktoken file's bytes and the pattern that splits texts before it."""
     import public_tokenizers
-    import tiktoken
 
     with open(path, "rb") as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        return f.read(), public_tokenizers.PATTERN
+
+
+def encoding(vocabulary: tuple[bytes, str]):
+    """How many tokens a string takes under these ranks."""
+    import tiktoken
+
+    data, pattern = vocabulary
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, data.splitlines())}
+    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+
+
+def encoder(path: str):
+    return encoding(read_vocabulary(path))
 
 
 def known(run: str, tokens, most: float = MAX_CHARS_PER_TOKEN) -> bool:
@@ -143,10 +155,11 @@ def random_spans(text: str, base: list[tuple[int, int, str]], tokens, most: floa
 
 def scan_secrets(docs: DataFrame, vocabulary: str | None = None, most: float = MAX_CHARS_PER_TOKEN, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id and spans: an array of (kind, start, end, value) in order of start."""
-    path = vocabulary or default_vocabulary()
+    # the driver reads the file: the functions below carry it
+    words = read_vocabulary(vocabulary or default_vocabulary())
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tokens = encoder(path)
+        tokens = encoding(words)
         for batch in batches:
             out = []
             for t in batch["text"]:

@@ -317,8 +317,8 @@ def linked(a, b):
     return bool(a and b) and 100 * len(a & b) >= 80 * len(a | b)
 
 
-@pytest.mark.parametrize("seed", [3, 4])
-def test_jaccard_components(spark, seed):
+@pytest.mark.parametrize(("seed", "hot"), [(3, jaccard.HOT), (4, 1)])
+def test_jaccard_components(spark, seed, hot):
     rng = random.Random(seed)
     rows = corpus(seed)
     base = prose(rng, 60)  # a crowd of copies of one text, and a passage that others share
@@ -335,7 +335,7 @@ def test_jaccard_components(spark, seed):
         if d is not None:
             least[find(i)] = min(d, least.get(find(i), d))
     want = sorted(str((d, len(s), least.get(find(i)))) for i, (d, s) in enumerate(sets))
-    got = sorted(str((r.doc_id, r.n_shingles, r.component_id)) for r in jaccard.similar_components(frame(spark, rows)).collect())
+    got = sorted(str((r.doc_id, r.n_shingles, r.component_id)) for r in jaccard.similar_components(frame(spark, rows), hot=hot).collect())
     assert got == want
     kept = jaccard.one_of_each(frame(spark, [r for r in rows if r[0] is not None]))
     assert sorted(r.doc_id for r in kept.collect()) == sorted({least[find(i)] for i, (d, _) in enumerate(sets) if d is not None} | {d for d, s in sets if not s and d is not None})
@@ -714,3 +714,128 @@ def test_text_ids(spark):
     # the same pairs of documents, whichever is named first
     pairs = lambda d: {frozenset(str(x).removeprefix("d") for x in (r.doc_id, r.other_id)) for r in chaining.shared_passages(d).collect()}
     assert pairs(docs) == pairs(clashing(spark, corpus(n=4), False)) != set()
+
+
+# ------------------------------------------------- more results by brute force
+
+
+def test_site_posteriors_by_hand(spark):
+    rng = random.Random(14)
+    rows = [(f"h{rng.randint(0, 4)}", f"/p{rng.randint(0, 3)}", rng.random()) for _ in range(300)]
+    sites, mean = quality.site_posteriors(spark.createDataFrame(rows, "host string, path string, p double"))
+
+    def sums(key):
+        out = {}
+        for r in rows:
+            n, k = out.get(key(r), (0, 0.0))
+            out[key(r)] = (n + 1, k + r[2])
+        return out
+
+    def strength(groups):  # (n, k, mean of its parent)
+        s = sum(n * (k / n - m) ** 2 for n, k, m in groups)
+        a, b = sum(m * (1 - m) for _, _, m in groups), sum((n - 1) * m * (1 - m) for n, _, m in groups)
+        return 1e6 if s <= a else min(1e6, max(0.5, b / (s - a) - 1))
+
+    total = sum(r[2] for r in rows) / len(rows)
+    assert abs(mean - total) < 1e-12
+    hosts = sums(lambda r: r[0])
+    m = strength([(n, k, total) for n, k in hosts.values()])
+    shrunk = {h: (k + m * total) / (n + m) for h, (n, k) in hosts.items()}
+    paths = sums(lambda r: r[:2])
+    m = strength([(n, k, shrunk[h]) for (h, _), (n, k) in paths.items()])
+    want = {(h, p): (k + m * shrunk[h]) / (n + m) for (h, p), (n, k) in paths.items()}
+    got = {(r._host, r._path): r.path_mean for r in sites.collect()}
+    assert set(got) == set(want) and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+def test_hosts_come_from_urls(spark):
+    urls = ["HTTPS://user@WWW.Example.org:80/a/b?q#f", "http://example.org", "no url", None, ""]
+    df = spark.createDataFrame([(u,) for u in urls], "url string")
+    host, path = quality.site_columns(df)
+    assert [tuple(r) for r in df.select(host, path).collect()] == [("example.org", "/a"), ("example.org", None), (None, None), (None, None), (None, None)]
+    docs = frame(spark, corpus(n=3)).withColumn("url", F.lit("http://one.org/x"))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    assert quality.score_quality(docs, labels).select("host_mean").distinct().count() == 1
+    assert quality.score_quality(frame(spark, corpus(n=3)), labels).select("host_mean").distinct().count() > 1
+
+
+def test_repeated_labelled_ids_teach_once(spark):
+    docs = frame(spark, [(i % 10, f"text {i} of some kind", "en", "s", 0, "", "") for i in range(400)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(10)], "doc_id long, quality int")
+    assert quality.score_quality(docs, labels).count() == 400
+    rows = toxicity.labelled_sample(docs, labels.withColumnRenamed("quality", "toxic"))
+    assert rows.count() <= 10
+
+
+def _base(text):
+    """The contract's spans, read letter by letter."""
+    found = []
+    low, i = "".join(c.lower() if c.isascii() else c for c in text), 0
+    value = set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-")
+    while i < len(text):
+        for word in ("password", "passwd", "secret", "token", "api_key", "apikey"):
+            if not low.startswith(word, i):
+                continue
+            j = i + len(word)
+            ways = []
+            for quote in (True, False):
+                k = j
+                if quote and k < len(text) and text[k] in "\"'":
+                    k += 1
+                elif quote:
+                    continue
+                while k < len(text) and text[k] == " ":
+                    k += 1
+                if k < len(text) and text[k] in ":=":
+                    ways.append(k + 1)
+            for k in ways[:1]:
+                while k < len(text) and text[k] == " ":
+                    k += 1
+                if k < len(text) and text[k] in "\"'":
+                    k += 1
+                e = k
+                while e < len(text) and text[e] in value:
+                    e += 1
+                if e > k:
+                    found.append((i, e, "assign", e - k >= 8))
+                    i = e - 1
+            break
+        i += 1
+    for kind, letters, head, least in (("access", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "AKIA", 16), ("hex", "0123456789abcdef", "", 32)):
+        i = 0
+        while i < len(text):
+            e = i + len(head)
+            while text.startswith(head, i) and e < len(text) and text[e] in letters:
+                e += 1
+            if text.startswith(head, i) and e > i + len(head):
+                found.append((i, e, kind, e - i >= least))
+                i = e
+            else:
+                i += 1
+    order = ("assign", "access", "hex")
+    return [(a, z, k) for a, z, k, ok in sorted(found, key=lambda s: (s[0], order.index(s[2]))) if ok]
+
+
+def test_base_spans_by_brute_force(spark):
+    import hashlib
+
+    rng = random.Random(15)
+    pieces = ["password", "PassWd", "secret", "token", "api_key", "APIKEY", "=", ":", " ", "  ", '"', "'", "abc", "12345678", "Zz9_/+.=-", "AKIA", "AKIAAKIA", "ABCDEF0123456789", "deadbeef", "0123456789abcdef" * 2, "é", "ſ", "\n", "ß", ""]
+    texts = ["".join(rng.choice(pieces) for _ in range(rng.randint(0, 14))) for _ in range(1500)] + [None]
+    rows = secrets.secret_digest(texts_frame(spark, texts)).orderBy("doc_id").collect()
+    some = 0
+    for t, r in zip(texts, rows, strict=True):
+        want = _base(t or "")
+        some += len(want)
+        assert [r.n_assign, r.n_access, r.n_hex] == [sum(k == x for _, _, k in want) for x in ("assign", "access", "hex")], t
+        assert r.base_sha256 == hashlib.sha256(",".join(f"{k}:{a}:{z}" for a, z, k in want).encode()).hexdigest(), t
+        assert {f"{k}:{a}:{z}" for a, z, k in want} <= set(r.spans.split(","))
+    assert some > 300
+
+
+def test_another_vocabulary(spark):
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    key = "q7Zx9Kp2Vb4Nc8Lm3Rt6Yw1Qs5Hd0Jf"
+    assert secrets.secret_digest(texts_frame(spark, [f"see {key}"]), vocabulary=path).first().n_random == 1
