@@ -120,23 +120,24 @@ def compact(df: DataFrame) -> DataFrame:
     return df.select("doc_id", *(["warc_record_id"] if "warc_record_id" in df.columns else []), "predicted_label")
 
 
-def by_length(df: DataFrame, text: str = "text") -> DataFrame:
-    """Rows of a partition in order of length, so that batches hold like lengths."""
-    return df.withColumn("_length", F.length(text)).sortWithinPartitions("_length").drop("_length")
-
-
 def length_batches(rows: Iterator, batch: int, bucket: int, length=len) -> Iterator[list]:
-    """Batches in order of length within buckets of rows as they come; what doesn't
-    fill a batch waits for the next bucket."""
+    """Batches of like lengths. Rows are held until there are `bucket` of them; then the
+    longest whole batches' worth of what is sorted goes out, shortest first, and what is
+    left (less than a batch) waits with the next rows."""
     if bucket < batch:
         raise ValueError("a bucket must hold a batch")
     held: list = []
+
+    def release(least: int) -> Iterator[list]:
+        held.sort(key=length)
+        at = 0
+        while len(held) - at >= least:
+            yield held[at : at + batch]
+            at += batch
+        del held[:at]
+
     for row in rows:
         held.append(row)
-        if len(held) >= bucket:
-            held.sort(key=length)
-            full = len(held) // batch * batch
-            yield from (held[at : at + batch] for at in range(0, full, batch))
-            held = held[full:]
-    held.sort(key=length)
-    yield from (held[at : at + batch] for at in range(0, len(held), batch))
+        if len(held) == bucket:
+            yield from release(batch)
+    yield from release(1)

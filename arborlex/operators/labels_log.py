@@ -118,3 +118,16 @@ def duplicate_proposals(log: DataFrame) -> DataFrame:
     """doc_id of records that propose the same normalized text twice."""
     signature = F.transform("proposed_labels", lambda p: F.concat_ws("\0", T.normalize_text(p["name"]), T.normalize_text(p["definition"])))
     return log.where(F.size(signature) != F.size(F.array_distinct(signature))).select("doc_id")
+
+
+def record_problems(log: DataFrame) -> DataFrame:
+    """doc_id, problem of records that can't stand by themselves."""
+    twice = lambda c: F.size(c) != F.size(F.array_distinct(c))
+    signature = F.transform("proposed_labels", lambda p: F.concat_ws("\0", T.normalize_text(p["name"]), T.normalize_text(p["definition"])))
+    problem = (
+        F.when(F.coalesce(F.col("seq"), F.lit(0)) < 1, "seq is not positive").when(F.coalesce(F.col("doc_id"), F.lit("")) == "", "no doc_id")
+        .when(F.coalesce(F.col("taxonomy_version"), F.lit(0)) < 1, "taxonomy_version is not positive")
+        .when(F.col("assigned_label_ids").isNull() | F.col("proposed_labels").isNull(), "labels are missing").when(twice("assigned_label_ids"), "a label is assigned twice")
+        .when(twice(F.col("proposed_labels.proposal_id")), "a proposal id occurs twice").when(twice(signature), "a label is proposed twice")
+    )
+    return log.select("doc_id", problem.alias("problem")).where("problem is not null")

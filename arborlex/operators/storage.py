@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 from functools import reduce
@@ -133,3 +134,14 @@ def write_text(path: str | Path, text: str) -> None:
     how = spark.sparkContext._gateway.new_array(rename, 1)
     how[0] = rename.OVERWRITE
     hadoop.FileContext.getFileContext(own.toUri(), spark._jsc.hadoopConfiguration()).rename(beside, own, how)
+
+
+def remove(path: str | Path) -> None:
+    """A file or folder with all in it, if it is there."""
+    fs, own = _store(path)
+    if fs is not None:
+        fs.delete(own, True)
+    elif own.is_dir():
+        shutil.rmtree(own)
+    else:
+        own.unlink(missing_ok=True)

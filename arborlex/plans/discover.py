@@ -90,6 +90,8 @@ def screen_resiliently(m: Maintainer, t: Taxonomy, groups: Sequence[Group]) -> l
 
 def check_log(log: DataFrame, t: Taxonomy) -> int:
     """The last seq; raises if the log isn't one of this taxonomy."""
+    if bad := G.record_problems(log).first():
+        raise TaxonomyError(f"document {bad.doc_id}: {bad.problem}")
     state = G.seq_gaps(log).first()
     if state.records and not state.contiguous:
         raise TaxonomyError("the log's seq isn't contiguous")
@@ -190,8 +192,8 @@ def screen_chunks(m: Maintainer, t: Taxonomy, chunks: Sequence[Sequence[Group]])
     """Decisions on each chunk: all asked for at once where the maintainer can, and
     those that can't be read once more by halves."""
     many = getattr(m, "screen_many", None)
-    answers = many(t, chunks) if many and len(chunks) > 1 else [None] * len(chunks)
-    return [screen_resiliently(m, t, c) if a is None else a for c, a in zip(chunks, answers, strict=True)]
+    answers = many(t, chunks) if many and len(chunks) > 1 else [MalformedOutput()] * len(chunks)
+    return [screen_resiliently(m, t, c) if isinstance(a, MalformedOutput) else a for c, a in zip(chunks, answers, strict=True)]
 
 
 def consolidate_pool(spark: SparkSession, t: Taxonomy, m: Maintainer) -> Taxonomy:

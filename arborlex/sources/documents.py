@@ -1,4 +1,4 @@
-"""Strict document sources: JSONL, Parquet, id aliases, shards, fingerprints.
+"""Strict document sources: JSONL, Parquet, hub datasets, id aliases, shards, fingerprints.
 
 Lines are read as text and parsed as variants, as the JSON reader would drop blank
 lines and turn numbers into strings. What is wrong with a row is in the column
@@ -10,12 +10,16 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.types import NumericType, StringType
 
 from arborlex.functions.text import is_blank
 from arborlex.operators.ordering import with_index
+from arborlex.operators.storage import cut
 
 ID_KEYS = ("doc_id", "id", "warc_record_id")
 
@@ -116,3 +120,92 @@ def url_text(df: DataFrame, url: str = "url", text: str = "text") -> Column:
 def renamed(df: DataFrame) -> DataFrame:
     """doc_id and text of rows that have `document` for text."""
     return df.select("doc_id", F.col("document").alias("text"))
+
+
+# ------------------------------------------------------------- hub datasets
+
+
+class HubDataset(DataSource):
+    """Rows of a dataset that a hub streams. Options: name (and config), split, shards
+    (each is a partition), and loader, `module:function`, which takes name, config and
+    split and gives rows as mappings; by default the datasets library's."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "hub_dataset"
+
+    def schema(self) -> str:
+        return "file string, at long, value string"
+
+    def reader(self, schema) -> DataSourceReader:
+        return _HubReader(dict(self.options))
+
+
+class _HubReader(DataSourceReader):
+    def __init__(self, options: dict) -> None:
+        self.options = options
+
+    def partitions(self) -> list[InputPartition]:
+        return [InputPartition(i) for i in range(int(self.options.get("shards", 1)))]
+
+    def read(self, partition: InputPartition) -> Iterable[tuple]:
+        import importlib
+        import json
+
+        o = self.options
+        module, _, function = o.get("loader", "datasets:load_dataset").partition(":")
+        rows = getattr(importlib.import_module(module), function)(o["dataset"], name=o.get("config"), split=o.get("split", "train"), streaming=True)
+        shards = int(o.get("shards", 1))
+        if shards > 1:
+            rows = rows.shard(num_shards=shards, index=partition.value)
+        for at, row in enumerate(rows, 1):
+            if not isinstance(row, dict):
+                raise ValueError(f"{o['dataset']}: row {at} is no mapping")
+            yield f"{o['dataset']}, shard {partition.value}, row {at}", at, json.dumps(row, ensure_ascii=False, default=str)
+
+
+def read_hub(spark: SparkSession, dataset: str, config: str | None = None, split: str = "train", shards: int = 1, loader: str | None = None) -> DataFrame:
+    """Rows of a hub's dataset, parsed and checked like lines."""
+    spark.dataSource.register(HubDataset)
+    options = {"dataset": dataset, "config": config, "split": split, "shards": str(shards), "loader": loader}
+    rows = spark.read.format("hub_dataset").options(**{k: v for k, v in options.items() if v is not None}).load()
+    return parse_lines(rows.select("value", "file"))
+
+
+def read_input(spark: SparkSession, jsonl: str | None = None, parquet: str | None = None, dataset: str | None = None, **hub) -> DataFrame:
+    """doc_id and text of exactly one source; raises where a row has a problem."""
+    if sum(x is not None for x in (jsonl, parquet, dataset)) != 1:
+        raise ValueError("give exactly one of JSONL files, Parquet files and a dataset")
+    if jsonl is not None:
+        rows = read_jsonl(spark, jsonl)
+    elif dataset is not None:
+        rows = read_hub(spark, dataset, **hub)
+    else:
+        rows = checked(with_aliased_id(spark.read.parquet(parquet)))
+    return strict(rows).select("doc_id", "text")
+
+
+def read_records(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Typed records, one a line; raises with file and line of the first that is blank,
+    not an object of these fields with these types, or has a null in one of them."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at"))
+    fields = spark.createDataFrame([], schema).schema
+    v = F.try_parse_json("value")
+    kinds = F.schema_of_variant(v)
+    r = F.from_json("value", fields, {"mode": "PERMISSIVE"})
+    own = ", ".join(sorted(f.name for f in fields))
+    names = F.array_join(F.array_sort(F.json_object_keys("value")), ", ")
+    gap = [r[f.name].isNull() for f in fields]
+    number = {f.name for f in fields if isinstance(f.dataType, NumericType)}
+    kind = lambda f: F.schema_of_variant(F.try_variant_get(v, f"$.{f.name}", "variant"))
+    wrong = [(kind(f) != "BIGINT") if f.name in number else kind(f) != "STRING" for f in fields if f.name in number or isinstance(f.dataType, StringType)]
+    problem = (
+        F.when(is_blank("value"), "blank line").when(v.isNull(), "not JSON, or a key twice").when(~kinds.startswith("OBJECT"), "not an object")
+        .when(names != own, F.concat(F.lit("fields are "), names)).when(reduce(Column.__or__, [*gap, *wrong]), "a field is null or of another type")
+    )
+    rows = cut(lines.select("file", "at", r.alias("r"), problem.alias("problem")), "records")
+    bad = rows.where("problem is not null").orderBy("file", "at").first()
+    if bad is not None:
+        line = lines.where((F.col("file") == bad.file) & (F.col("at") <= bad.at)).count()
+        raise ValueError(f"{bad.file}:{line}: {bad.problem}")
+    return rows.select("r.*")

@@ -1,13 +1,14 @@
 import json
+import time
 
 import pytest
 
 from arborlex.functions import prompts as P
-from arborlex.operators.chat import ChatLabeler, ChatMaintainer
+from arborlex.operators.chat import ChatLabeler, ChatMaintainer, Reply, Words, ask_many
 from arborlex.operators.taxonomy import Group, Label, new_taxonomy
 from arborlex.plans import cli
-from arborlex.plans.discover import MalformedOutput
-from arborlex.streaming.progress import report
+from arborlex.plans.discover import MalformedOutput, screen_chunks
+from arborlex.streaming.progress import Ticker, report
 
 SEEDS = [Label(f"L{i:03d}", f"Seed {i}", f"Definition {i}") for i in range(1, 25)]
 T = new_taxonomy("topic", SEEDS)
@@ -78,3 +79,120 @@ def test_programs_from_the_command_line(spark, tmp_path):
 
 def test_report():
     assert report(10, 20, 100.0, now=102.0) == "10 of 20 documents, 5.00/s, 2s spent, 2s left, 0.00 device hours"
+
+
+class Batched:
+    """A model that takes all requests at once."""
+
+    def __init__(self, answer):
+        self.answer, self.calls = answer, []
+
+    def many(self, requests):
+        self.calls.append(len(requests))
+        return [self.answer(m, s) for m, s in requests]
+
+
+def test_a_batch_is_one_call():
+    fine = Reply(json.dumps({"assigned_label_ids": ["L001"], "proposed_labels": []}), tokens_in=10, tokens_out=3)
+    chat = Batched(lambda m, s: fine)
+    labeler = ChatLabeler(chat, "topic")
+    assert labeler(["a", "b", "c"], SEEDS, True) == [(["L001"], [])] * 3 and chat.calls == [3]
+    assert (labeler.totals.requests, labeler.totals.tokens_in, labeler.totals.tokens_out) == (3, 30, 9)
+    with pytest.raises(ValueError, match="0 answers"):
+        ask_many(type("None_", (), {"many": lambda self, r: []})(), [([], {})])
+
+
+def test_screening_chunks_are_one_call_and_bad_ones_are_halved():
+    def answer(messages, schema):
+        ids = list(schema["properties"]["decisions"]["properties"])
+        finish = "length" if len(ids) > 1 and "G_a-name" in messages[1]["content"] else "stop"
+        return Reply(json.dumps({"decisions": {i: {"action": "keep_candidate"} for i in ids}}), finish)
+
+    chat = Batched(answer)
+    groups = [Group("G_a", "G_a-name", "x", 1), *(Group(f"G_{i}", f"N{i}", "x", 1) for i in range(3))]
+    out = screen_chunks(ChatMaintainer(chat), T, [groups[:2], groups[2:]])
+    assert [[d["proposal_group_id"] for d in c] for c in out] == [["G_a", "G_0"], ["G_1", "G_2"]]
+    assert chat.calls == [2, 1, 1, 1]  # both chunks; the first again, then its halves
+
+
+@pytest.mark.parametrize(("reply", "problem"), [
+    (Reply("{}", "length"), "cut off"), (Reply(""), "empty"), (Reply("[]"), "no object"), (Reply('{"assigned_label_ids": [], "x": 1}'), "keys"),
+    (Reply('{"assigned_label_ids": ["L999"], "proposed_labels": []}'), "unknown value"), (Reply('{"assigned_label_ids": "L001", "proposed_labels": []}'), "no array"),
+    (Reply('{"assigned_label_ids": [], "proposed_labels": [{"name": 5, "definition": "x"}]}'), "no string"),
+])
+def test_answers_are_held_against_their_schema(reply, problem):
+    with pytest.raises(MalformedOutput, match=problem):
+        ChatLabeler(lambda m, s: reply, "topic")(["text"], SEEDS, True)
+
+
+def test_texts_that_can_be_mended_pass():
+    answer = json.dumps({"assigned_label_ids": ["L001", "L001"], "proposed_labels": [{"name": "#Rust", "definition": "x" * 600}]})
+    assert ChatLabeler(says(answer), "topic")(["t"], SEEDS, True)[0][1][0]["name"] == "#Rust"
+    new = {"new_labels": [{"candidate_group_ids": ["C001"], "name": "#N", "definition": "D"}]}
+    with pytest.raises(MalformedOutput, match="doesn't fit"):
+        ChatMaintainer(says(new)).promote(T, GROUPS)
+
+
+def test_prompts_fit_the_context():
+    class Letters(Words):
+        def encode(self, text):
+            return list(text)
+
+        def decode(self, tokens):
+            return "".join(tokens)
+
+        def prompt_length(self, messages):
+            return sum(len(m["content"]) for m in messages)
+
+    room = Letters().prompt_length(ChatLabeler(says("{}"), "topic").messages("", SEEDS, False))
+    labeler = ChatLabeler(says("{}"), "topic", tokenizer=Letters(), context=room + 60, answer=10)
+    messages = labeler.messages("x" * 500, SEEDS, False)
+    assert Letters().prompt_length(messages) == room + 50 and messages[1]["content"].endswith("x\n[TRUNCATED]")
+    assert labeler.messages("short", SEEDS, False)[1]["content"].endswith("short")
+    with pytest.raises(ValueError, match="longer than the context"):
+        ChatLabeler(says("{}"), "topic", tokenizer=Letters(), context=20, answer=10).messages("t", SEEDS, False)
+
+
+@pytest.mark.parametrize(("text", "problem"), [
+    ("reconcile: 3\n", "obsolete"), ("model:\n  reconcile_max_tokens: 3\n", "obsolete"), ("model:\n  screen_every: 3\n", "unknown keys screen_every in the section model"),
+    ("batch_size: 3\n", "unknown keys"), ("model: 3\n", "not a mapping"), ("paths:\n  input: ${other}\n", "placeholder"), ("paths:\n  input: ${run_name}\n", "needs a run name"), ("run_name: -x\n", "no run name"),
+])
+def test_files_that_are_refused(tmp_path, text, problem):
+    (tmp_path / "c.yaml").write_text(text)
+    with pytest.raises(ValueError, match=problem):
+        cli.config_defaults(str(tmp_path / "c.yaml"))
+
+
+@pytest.mark.parametrize("more", [
+    ["--seed", "-1"], ["--log-level", "VERBOSE"], ["--max-documents", "0"], ["--compute-logging-interval", "0"], ["--max-total-labels", "3"], ["--dataset-input", "d"], ["--batch-size", "0"],
+])
+def test_arguments_that_are_refused(tmp_path, more):
+    fine = ["classify", "--input", "in", "--taxonomy", "t", "--output", "o"]
+    assert cli.arguments(fine).seed == 0
+    with pytest.raises(SystemExit):
+        cli.arguments([*fine, *more])
+
+
+def test_kinds_of_values_from_a_file(tmp_path):
+    for text in ('runtime:\n  compute_logging: "false"\n', "model:\n  seed: true\n", "model:\n  batch_size: 2.5\n"):
+        (tmp_path / "c.yaml").write_text(text)
+        with pytest.raises(SystemExit):
+            cli.arguments(["classify", "--input", "in", "--taxonomy", "t", "--output", "o", "--config", str(tmp_path / "c.yaml")])
+
+
+def test_ticker_tells_and_goes_on(caplog):
+    calls = []
+
+    def progress():
+        calls.append(1)
+        if len(calls) == 1:
+            raise RuntimeError("no figures")
+        return 10, 20
+
+    with caplog.at_level("INFO"), Ticker(progress, every=0.01, devices=4, budget=2.0):
+        while len(calls) < 3:
+            time.sleep(0.01)
+    assert "no progress to tell" in caplog.text and "10 of 20 documents" in caplog.text
+    assert Ticker(lambda: (10, 20), devices=4, budget=2.0).line(3600) == "10 of 20 documents, 0.00/s, 1h 0m 0s spent, 1h 0m 0s left, 4.00 device hours, 4.00 to come, -2.00 of 2.00 left"
+    with pytest.raises(ValueError):
+        Ticker(progress, every=0)

@@ -80,3 +80,61 @@ def test_epochs_and_metadata(spark, tmp_path):
 
 def test_reconcile(spark):
     assert K.reconcile([spark.range(3), spark.range(4)]).count() == 7
+
+
+class FakeRows(list):
+    def shard(self, num_shards, index):
+        return FakeRows(self[index::num_shards])
+
+
+def fake_hub(dataset, name=None, split="train", streaming=False):
+    assert streaming
+    return FakeRows([{"id": f"{dataset}-{name}-{split}-{i}", "text": f"text {i}", "n": i} for i in range(5)])
+
+
+def test_hub_datasets(spark):
+    rows = D.read_hub(spark, "set", "conf", "test", shards=2, loader="tests.test_sources:fake_hub")
+    assert rows.rdd.getNumPartitions() == 2
+    assert sorted(r.doc_id for r in rows.collect()) == [f"set-conf-test-{i}" for i in range(5)]
+    got = D.read_input(spark, dataset="set", loader="tests.test_sources:fake_hub")
+    assert got.columns == ["doc_id", "text"] and got.count() == 5
+    with pytest.raises(ValueError, match="exactly one"):
+        D.read_input(spark)
+    with pytest.raises(ValueError, match="exactly one"):
+        D.read_input(spark, jsonl="a", dataset="b")
+
+
+def test_typed_records_name_the_bad_line(spark, tmp_path):
+    schema = "seq long, doc_id string, assigned_label_ids array<string>"
+    f = tmp_path / "log.jsonl"
+    fine = '{"seq": 1, "doc_id": "a", "assigned_label_ids": ["L001"]}\n'
+    f.write_text(fine + fine.replace("1,", "2,"))
+    assert [r.seq for r in D.read_records(spark, str(f), schema).orderBy("seq").collect()] == [1, 2]
+    for bad, problem in (("\n", "blank"), ("{\n", "not JSON"), ("[1]\n", "not an object"), ('{"seq": 1}\n', "fields are seq"), (fine.replace("1,", '"1",'), "another type"), (fine.replace('"a"', "null"), "null"), (fine.replace('"doc_id"', '"more": 1, "doc_id"'), "fields are")):
+        f.write_text(fine + fine + bad + fine)
+        with pytest.raises(ValueError, match=f"log.jsonl:3: .*{problem}"):
+            D.read_records(spark, str(f), schema)
+
+
+def test_records_that_cannot_stand(spark):
+    from arborlex.operators import labels_log as G
+
+    p = ("P1", "Name", "x")
+    rows = [(1, "ok", 1, ["L1"], [p]), (0, "seq", 1, [], []), (2, "", 1, [], []), (3, "version", 0, [], []), (4, "twice", 1, ["L1", "L1"], []), (5, "id", 1, [], [p, ("P1", "Other", "x")]), (6, "label", 1, [], [p, ("P2", " name ", "X")]), (7, "none", 1, None, [])]
+    found = G.record_problems(spark.createDataFrame(rows, G.LOG)).collect()
+    assert sorted(r.doc_id for r in found) == ["", "id", "label", "none", "seq", "twice", "version"]
+
+
+def test_predictions_in_buckets(spark):
+    import numpy as np
+
+    from arborlex.plans.classifier import predict
+
+    docs = spark.createDataFrame([(str(i), "x" * (i % 7 + 1), i) for i in range(50)], "doc_id string, text string, n int").coalesce(1)
+
+    def logits(texts):
+        assert len(texts) <= 4 and max(map(len, texts)) - min(map(len, texts)) <= 2
+        return np.array([[len(t) % 2, 0.5] for t in texts])
+
+    rows = predict(docs, logits, {0: "odd", 1: "even"}, batch=4, bucket=24).collect()
+    assert len(rows) == 50 and all(r.predicted_label == ("odd" if (r.n % 7 + 1) % 2 else "even") for r in rows)
