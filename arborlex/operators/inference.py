@@ -12,9 +12,11 @@ from typing import Protocol
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from arborlex.functions.text import fix_output, token_list
+from arborlex.operators.ordering import with_index
 from arborlex.operators.taxonomy import Label
 
 OUTPUT = "assigned_label_ids array<string>, proposed_labels array<struct<name:string,definition:string>>, problem string"
@@ -141,3 +143,14 @@ def length_batches(rows: Iterator, batch: int, bucket: int, length=len) -> Itera
         if len(held) == bucket:
             yield from release(batch)
     yield from release(1)
+
+
+def length_buckets(df: DataFrame, batch: int, bucket: int, by: str, length: str) -> DataFrame:
+    """df with `batch`: rows in the order `by` fall into buckets, a bucket's rows are
+    dealt in order of length. What length_batches does as rows pass, for a whole table;
+    a bucket is whole batches, so none is left over."""
+    if bucket < batch or bucket % batch:
+        raise ValueError("a bucket must be whole batches")
+    at = with_index(df, by, name="_at").withColumn("_bucket", F.floor(F.col("_at") / bucket))
+    rank = F.row_number().over(W.partitionBy("_bucket").orderBy(length, "_at")) - 1  # within `bucket` rows
+    return at.withColumn("batch", F.col("_bucket") * (bucket // batch) + F.floor(rank / batch)).drop("_at", "_bucket")

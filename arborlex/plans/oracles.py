@@ -49,9 +49,7 @@ ORACLES = {
     "batch_chunks": "SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1) // 512 AS batch FROM documents",
     "max_documents": "SELECT doc_id FROM documents ORDER BY doc_id LIMIT 100",
     "assign_seq": "SELECT doc_id, 1000 + row_number() OVER (ORDER BY doc_id) AS seq FROM documents",
-    "length_buckets": "SELECT doc_id, (row_number() OVER (ORDER BY length(text), doc_id) - 1) // 32 AS batch FROM documents",
     "duplicate_docs": "SELECT md5(text) AS text_hash, count(*) AS occurrences FROM documents GROUP BY 1 HAVING count(*) > 1",
-    "normalize_text": f"WITH {TOP} SELECT doc_id, pos::INTEGER AS pos, {NORM.format("'  The' || chr(9) || upper(tok) || '  ' || chr(10) || tok || ' '")} AS normalized FROM top",
     "name_tokens": f"WITH {TOP}, n AS (SELECT doc_id, string_agg(tok, ' & ' ORDER BY pos) AS name FROM top GROUP BY doc_id), t AS (SELECT DISTINCT doc_id, unnest(regexp_split_to_array(replace(lower('The ' || name || ' of Art'), '&', ' and '), '[^a-z0-9]+')) AS tok FROM n) SELECT doc_id, string_agg(tok, ' ' ORDER BY tok) AS tokens FROM t WHERE tok NOT IN ('', 'a', 'an', 'and', 'for', 'in', 'of', 'on', 'or', 'the', 'to', 'with') GROUP BY doc_id",
     "truncate_text": "WITH t AS (SELECT doc_id, text, list_filter(regexp_split_to_array(text, '[ \\t\\n\\r\\f\\v]+'), lambda x: x <> '') AS w FROM documents) SELECT doc_id, md5(CASE WHEN len(w) <= 50 THEN text ELSE array_to_string(w[1:50], ' ') || chr(10) || '[TRUNCATED]' END) AS text_hash FROM t",
     "proposal_ids": f"WITH {PROPS} SELECT doc_id, pos::INTEGER AS pos, 'P_' || sha256(doc_id || chr(0) || pos || chr(0) || name || chr(0) || definition)[1:20] AS proposal_id FROM props",
@@ -96,6 +94,11 @@ ORACLES = {
     "threshold_label": "SELECT doc_id, regexp_replace(printf('%.3f', (doc_id % 1000) / 1000.0), '\\.?0+$', '') AS label FROM documents",
     "format_duration": "WITH s AS (SELECT doc_id, n_chars AS s FROM documents) SELECT doc_id, CASE WHEN s >= 3600 THEN printf('%dh %dm %ds', s // 3600, s % 3600 // 60, s % 60) WHEN s >= 60 THEN printf('%dm %ds', s // 60, s % 60) ELSE printf('%ds', s) END AS duration FROM s",
     "shard_reconcile": "SELECT (row_number() OVER (ORDER BY doc_id) - 1) % 8 AS rank, doc_id FROM documents",
-    "url_shards": "SELECT page_id, coalesce(url, '') AS url FROM pages",
     "count_lines": "SELECT count(*) AS lines FROM documents",
+    "length_buckets": "WITH p AS (SELECT doc_id, length(text) AS n, row_number() OVER (ORDER BY doc_id) - 1 AS place FROM documents) SELECT doc_id, place // 256 * 8 + (row_number() OVER (PARTITION BY place // 256 ORDER BY n, place) - 1) // 32 AS batch FROM p",
+    "url_shards": "SELECT page_id, coalesce(url, '') AS url FROM pages QUALIFY (row_number() OVER (ORDER BY page_id) - 1) % 5 = 2 AND row_number() OVER (ORDER BY page_id) > 5",
+    "normalize_text": f"SELECT doc_id, md5({NORM.format("'  The' || chr(9) || text || '  ' || chr(10) || text || ' '")}) AS normalized FROM documents",
+    "repair_label": f"WITH {TOP} SELECT doc_id, pos::INTEGER AS pos, nullif(regexp_replace(CASE pos WHEN 1 THEN tok || 'x' ELSE tok END, '^[0-9]+', ''), '') AS name FROM top",
+    "fix_output": f"WITH {TOP} SELECT doc_id, 'L001,L002' AS ids, string_agg(tok, ',' ORDER BY pos) AS names FROM top WHERE regexp_matches(tok, '^[a-z]') GROUP BY doc_id",
+    "classify_documents": """WITH w AS (SELECT doc_id, list_distinct(regexp_split_to_array(lower(text), '[^a-z0-9]+')) AS w FROM documents), l AS (SELECT doc_id, (CASE WHEN list_contains(w, 'thtion') THEN ['L001'] ELSE [] END || CASE WHEN list_contains(w, 'the') THEN ['L002'] ELSE [] END || CASE WHEN list_contains(w, 'erble') OR list_contains(w, 'was') THEN ['L003'] ELSE [] END) AS l FROM w) SELECT row_number() OVER (ORDER BY doc_id::VARCHAR) AS seq, doc_id::VARCHAR AS doc_id, 1::BIGINT AS taxonomy_version, CASE WHEN len(l) = 0 THEN 'L005' ELSE array_to_string(l, ',') END AS labels FROM l""",
 }

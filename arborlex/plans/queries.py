@@ -12,11 +12,12 @@ from arborlex.operators import inference as I
 from arborlex.operators import label_tables as L
 from arborlex.operators import labels_log as G
 from arborlex.operators.ordering import with_index
-from arborlex.operators.storage import cut
+from arborlex.operators.storage import cut, new_path
 from arborlex.operators.taxonomy import Label, allocate, new_taxonomy, Settings
 from arborlex.plans import fixtures as X
 from arborlex.plans import sweep as S
 from arborlex.sources import documents as D
+from arborlex.sources import sinks as K
 
 QUERIES: dict = {}
 
@@ -63,7 +64,9 @@ def required_fields(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def count_lines(spark: SparkSession, sf: str) -> DataFrame:
-    return X.documents(spark, sf).agg(F.count(F.lit(1)).alias("lines"))
+    path = new_path(spark, "lines")
+    X.documents(spark, sf).select(F.to_json(F.struct("doc_id", "text"))).write.text(path)
+    return spark.createDataFrame([(D.count_lines(spark, path),)], "lines long")
 
 
 @query
@@ -75,7 +78,8 @@ def shard_modulo(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def shard_reconcile(spark: SparkSession, sf: str) -> DataFrame:
-    return with_index(X.documents(spark, sf).select("doc_id"), "doc_id").select((F.col("pos") % 8).alias("rank"), "doc_id")
+    docs = X.documents(spark, sf).select("doc_id")
+    return K.reconcile([cut(D.shard(docs, r, 8, "doc_id"), "shard").select(F.lit(r).cast("long").alias("rank"), "doc_id") for r in range(8)])
 
 
 @query
@@ -96,7 +100,7 @@ def assign_seq(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def length_buckets(spark: SparkSession, sf: str) -> DataFrame:
     rows = X.documents(spark, sf).select("doc_id", F.length("text").alias("n"))
-    return with_index(rows, "n", "doc_id").select("doc_id", F.floor(F.col("pos") / 32).alias("batch"))
+    return I.length_buckets(rows, 32, 256, "doc_id", "n").select("doc_id", "batch")
 
 
 @query
@@ -124,7 +128,8 @@ def url_text(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def url_shards(spark: SparkSession, sf: str) -> DataFrame:
-    return X.table(spark, sf, "pages").select("page_id", F.coalesce("url", F.lit("")).alias("url"))
+    pages = X.table(spark, sf, "pages").select("page_id", F.coalesce("url", F.lit("")).alias("url"))
+    return D.shard(pages, 2, 5, "page_id", skip=1)
 
 
 # ---------------------------------------------------------------------- text
@@ -132,8 +137,8 @@ def url_shards(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def normalize_text(spark: SparkSession, sf: str) -> DataFrame:
-    raw = F.concat(F.lit("  The\t"), F.upper("tok"), F.lit("  \n"), "tok", F.lit(" "))
-    return X.top_tokens(spark, sf).select("doc_id", "pos", T.normalize_text(raw).alias("normalized"))
+    raw = F.concat(F.lit("  The\t"), "text", F.lit("  \n"), "text", F.lit(" "))
+    return X.documents(spark, sf).select("doc_id", F.md5(T.normalize_text(raw).cast("binary")).alias("normalized"))
 
 
 @query
@@ -162,22 +167,26 @@ def format_duration(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def repair_label(spark: SparkSession, sf: str) -> DataFrame:
-    raw = F.concat(F.lit("#"), "tok", F.lit("_!"))
+    raw = F.when(F.col("pos") == 0, F.concat(F.lit("#"), "tok")).when(F.col("pos") == 1, F.concat("tok", F.lit("_x"))).otherwise(F.concat(F.lit("  "), "tok", F.lit("!\t")))
     return X.top_tokens(spark, sf).select("doc_id", "pos", T.repair_name(raw).alias("name"))
 
 
 @query
 def fix_output(spark: SparkSession, sf: str) -> DataFrame:
+    """Each document's words proposed twice, and something that can't be mended."""
+
     def mend(batches):
         for b in batches:
             out = []
-            for doc, tok in zip(b["doc_id"], b["tok"], strict=True):
-                p = {"name": tok, "definition": f"On {tok}"}
-                ids, kept = T.fix_output(["L001", "L002", "L001"], [p, {"name": f" {tok.upper()} ", "definition": f"on  {tok}"}, {"name": "_", "definition": "x"}])
-                out.append((doc, len(ids), len(kept)))
-            yield pd.DataFrame(out, columns=["doc_id", "ids", "proposals"])
+            for doc, words in zip(b["doc_id"], b["words"], strict=True):
+                proposed = [p for t in words for p in ({"name": t, "definition": f"On {t}"}, {"name": f" {t.upper()} ", "definition": f"on  {t}"}, {"name": "_", "definition": "x"})]
+                ids, kept = T.fix_output(["L001", "L002", "L001"], proposed)
+                out.append((doc, ",".join(ids), ",".join(p["name"] for p in kept)))
+            yield pd.DataFrame(out, columns=["doc_id", "ids", "names"])
 
-    return X.top_tokens(spark, sf).where("pos = 0").mapInPandas(mend, "doc_id long, ids int, proposals int")
+    words = F.transform(F.array_sort(F.collect_list(F.struct("pos", "tok"))), lambda x: x["tok"])
+    rows = X.top_tokens(spark, sf).where(F.col("tok").rlike("^[a-z]")).groupBy("doc_id").agg(words.alias("words"))
+    return rows.mapInPandas(mend, "doc_id long, ids string, names string")
 
 
 # ----------------------------------------------------------------------- log
@@ -472,7 +481,8 @@ def classify_documents(spark: SparkSession, sf: str) -> DataFrame:
     from arborlex.plans.classify import classified
 
     docs = X.documents(spark, sf).select(F.col("doc_id").cast("string").alias("doc_id"), "text")
-    return classified(docs, I.LexicalLabeler(fallback="L001"), _state().freeze())
+    out = classified(docs, I.LexicalLabeler({"L001": ["thtion"], "L002": ["the"], "L003": ["erble", "was"]}, fallback="L005"), _state().freeze())
+    return out.select("seq", "doc_id", "taxonomy_version", F.array_join("assigned_label_ids", ",").alias("labels"))
 
 
 @query
