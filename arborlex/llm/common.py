@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from arborlex.operators.storage import BROADCAST_ROWS, cut, fits_broadcast, narrow_join, new_path, shared_dir
 
 __all__ = [
-    "BROADCAST_ROWS", "WORD", "block_count", "by_block", "chunks", "cut", "dealt", "fits_broadcast", "global_order", "mix", "narrow_join", "new_path", "numbered",
+    "BROADCAST_ROWS", "WORD", "block_count", "by_block", "chunks", "cut", "dealt", "fits_broadcast", "global_order", "mix", "narrow_join", "new_path", "numbered", "numbered_copies",
     "pack", "renamed", "shared_dir", "slices", "token_hashes", "union_all", "unpack", "unused", "windows",
 ]
 
@@ -43,6 +43,26 @@ def global_order(df: DataFrame, by: list, sums: dict[str, str], tag: str = "orde
     return out.withColumns({"_row": F.col("_n") + F.col("_r")} | {k: F.col(f"_t_{k}") + F.col(f"_s_{k}") for k in sums}).drop("_part", "_n", "_r", *(f"_t_{k}" for k in sums), *(f"_s_{k}" for k in sums))
 
 
+def numbered_copies(rows: DataFrame, key: str, name: str, most: int = 4096) -> DataFrame:
+    """rows with `name`: 1, 2, ... among those of equal key (a struct, which may hold
+    nulls). Groups of more than `most` rows are parted at random, written, and numbered
+    part by part, so that none is in one place."""
+    of = lambda *by: F.row_number().over(W.partitionBy(*by).orderBy(F.lit(0)))
+    hot_key, hot_n, part, before = unused(rows.columns, "_hot", "_n", "_part", "_before")
+    hot = cut(rows.groupBy(F.col(key).alias(hot_key)).agg(F.count(F.lit(1)).alias(hot_n)).where(F.col(hot_n) > most), "hot")
+    if hot.isEmpty():
+        return rows.withColumn(name, of(key))
+    same = F.col(key).eqNullSafe(F.col(hot_key))
+    usual = narrow_join(rows, hot, same, "left_anti").withColumn(name, of(key))
+    dealt_out = F.floor(F.rand(5) * F.ceil(F.col(hot_n) / most)).cast("int")
+    some = cut(narrow_join(rows, hot, same).withColumn(part, dealt_out).drop(hot_key, hot_n), "parts")
+    sizes = some.groupBy(F.col(key).alias(hot_key), F.col(part).alias(hot_n)).agg(F.count(F.lit(1)).alias("n"))
+    earlier = W.partitionBy(hot_key).orderBy(hot_n).rowsBetween(W.unboundedPreceding, -1)
+    sizes = cut(sizes.withColumn(before, F.coalesce(F.sum("n").over(earlier), F.lit(0))).drop("n"), "sizes")
+    joined = narrow_join(some, sizes, same & (F.col(part) == F.col(hot_n)))
+    return usual.unionByName(joined.withColumn(name, (F.col(before) + of(key, part)).cast("int")).select(*rows.columns, name))
+
+
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 

@@ -21,10 +21,9 @@ type that has an order; all columns are kept by `mix_documents`.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from arborlex.llm.common import WORD, cut, global_order, narrow_join, numbered, renamed, union_all, unused
+from arborlex.llm.common import WORD, cut, global_order, narrow_join, numbered, numbered_copies, renamed, union_all, unused
 
 FAN = 128
 MOST = 3
@@ -143,7 +142,6 @@ def mix_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", sour
     tie, copy, again = unused(rows.columns, "_tie", "_copy", "_again")
     copies = mix_sizes(sized(rows, number, text, source), **options).where("copies > 0").select(F.col("doc_id").alias("k"), F.col("tie").alias("t"), F.col("copy").alias("c"), F.col("copies").alias("times"))
     mark = F.xxhash64(F.coalesce(F.col(text), F.lit("")), F.coalesce(F.concat(F.lit("="), F.col(source)), F.lit("")))
-    rows = rows.withColumn(tie, mark).withColumn(copy, F.row_number().over(W.partitionBy(number, tie).orderBy(F.lit(0)))).alias("l")
-    left = lambda c: F.col(f"l.{c}")
-    joined = rows.join(copies.alias("r"), left(number).eqNullSafe(F.col("r.k")) & (left(tie) == F.col("r.t")) & (left(copy) == F.col("r.c")))
+    rows = numbered_copies(rows.withColumn(tie, F.struct(F.col(number).alias("k"), mark.alias("t"))), tie, copy).alias("l")
+    joined = rows.join(copies.alias("r"), F.col(f"l.{tie}.k").eqNullSafe(F.col("r.k")) & (F.col(f"l.{tie}.t") == F.col("r.t")) & (F.col(f"l.{copy}") == F.col("r.c")))
     return joined.select(*(F.col(f"l.`{c}`") for c in docs.columns), F.explode(F.sequence(F.lit(1), "r.times")).alias(again)).drop(again)

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arborlex.llm.common import global_order, unused
+from arborlex.llm.common import cut, global_order, numbered_copies, unused
 
 SHARDS = 16
 
@@ -26,7 +26,9 @@ def place(narrow: DataFrame, order: list[str], shards: int = SHARDS) -> DataFram
     """`shard` and gapless `slot` for rows with a `size`, in the given order."""
     if shards < 1:
         raise ValueError("shards must be at least 1")
-    placed = global_order(narrow, [F.col(c).asc_nulls_first() for c in order], {"_before": "size"}, "shard")
+    # a number of their own parts equal rows among ranges
+    apart = narrow.withColumn("_apart", F.monotonically_increasing_id())
+    placed = global_order(apart, [*(F.col(c).asc_nulls_first() for c in order), F.col("_apart")], {"_before": "size"}, "shard").drop("_apart")
     middle = (2 * F.col("_before") + F.col("size")).cast("decimal(38,0)")
     cut_at = F.least(F.lit(shards - 1), F.floor(middle * shards / (2 * F.col("_before_all")).cast("decimal(38,0)")).cast("int"))
     sharded = placed.withColumn("shard", cut_at).drop("_before", "_before_all")
@@ -58,16 +60,14 @@ def shard_digest(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
 def shard_documents(docs: DataFrame, shards: int = SHARDS, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows themselves with `shard` and `slot`. Rows that agree in key, size
     and checksums share their places by their order within such a group."""
-    from pyspark.sql import Window as W
-
     order = ["doc_id", "size", "text_crc32", "_tie"]
     rows = docs.drop("shard", "slot")
     mine, copy = unused(rows.columns, "_mine", "_copy")
     body = F.coalesce(F.col(text), F.lit(""))
     digests = (F.col(key), (F.octet_length(body) + 1).cast("long"), F.crc32(body.cast("binary")).cast("long"), F.xxhash64(body))
     rows = rows.withColumn(mine, F.struct(*(c.alias(n) for n, c in zip(order, digests, strict=True))))
-    rows = rows.withColumn(copy, F.row_number().over(W.partitionBy(mine).orderBy(F.lit(0))))
+    rows = numbered_copies(rows, mine, copy)
     places = place(digest(docs, key, text), order, shards).select(F.struct(*order).alias("theirs"), "shard", "slot")
-    places = places.withColumn("copy", F.row_number().over(W.partitionBy("theirs").orderBy("slot")))
+    places = numbered_copies(cut(places, "places"), "theirs", "copy")
     left, right = rows.alias("l"), places.alias("r")
     return left.join(right, F.col(f"l.{mine}").eqNullSafe(F.col("r.theirs")) & (F.col(f"l.{copy}") == F.col("r.copy"))).select("l.*", "r.shard", "r.slot").drop(mine, copy)

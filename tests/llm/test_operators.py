@@ -707,6 +707,12 @@ def test_all_columns_are_kept(spark, text_ids):
     assert sharding.shard_documents(docs).count() == docs.count()
 
 
+def test_groups_of_equal_rows_are_parted(spark):
+    rows = spark.range(1000).selectExpr("if(id < 900, null, id % 20) k", "id v").withColumn("key", F.struct("k", F.lit(1).alias("one")))
+    out = common.numbered_copies(rows, "key", "copy", most=50).groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("copy").alias("a"), F.max("copy").alias("z"), F.count_distinct("copy").alias("d")).collect()
+    assert len(out) == 21 and all(r.a == 1 and r.z == r.n == r.d for r in out)
+
+
 def test_text_ids(spark):
     docs = clashing(spark, corpus(n=4), True)
     for f in (mixing.mix_digest, sharding.shard_digest, jaccard.similar_components, secrets.secret_digest):
