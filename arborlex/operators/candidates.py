@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -167,17 +167,18 @@ def greedy_cliques(rows: list[tuple[str, str]], scores: dict[tuple[str, str], fl
 
 
 MEMBER = "threshold double, seed_id string, member_pos int, group_id string, min_similarity double, mean_similarity double"
-#: Links of a component up to which one task goes through its seeds.
-COMPONENT_LINKS = 50_000
+#: Links that one task works on at once (some 150 bytes each).
+COMPONENT_LINKS = 400_000
+_LINK = ["left_id", "left_name", "right_id", "right_name", "score"]
 
 
-def neighbourhoods(pool: DataFrame, thresholds: list[float], most: int = MAX_GROUP, excluded: DataFrame | None = None, pairs: DataFrame | None = None) -> DataFrame:
+def neighbourhoods(pool: DataFrame, thresholds: list[float], most: int = MAX_GROUP, excluded: DataFrame | None = None, pairs: DataFrame | None = None, limit: int = COMPONENT_LINKS) -> DataFrame:
     """Members of the groups of mutually similar candidates, for each threshold.
 
     A seed meets only candidates it is linked with by a blocked pair of at least the
     threshold, so components of the links of the lowest threshold don't touch each
-    other. Small ones are gone through in one task each; for others, all seeds that no
-    smaller one can still interfere with take their turns together, in rounds."""
+    other. Those of up to `limit` links are gone through in one task each; larger ones
+    in rounds of as many seeds as have that many links."""
     if most < 2:
         raise ValueError("most must be at least 2")
     if not all(0 <= t <= 1 for t in thresholds):
@@ -186,84 +187,67 @@ def neighbourhoods(pool: DataFrame, thresholds: list[float], most: int = MAX_GRO
     pairs = cut(scored_pairs(pool, excluded, least) if pairs is None else pairs.where(F.col("score") >= least), "pairs")
     parts = cut(_components(pairs), "components")
     own = parts.select(F.col("group_id").alias("left_id"), "component")
-    links = cut(pairs.select("left_id", "left_name", "right_id", "right_name", "score").join(own, "left_id"), "links")
-    large = cut(links.groupBy("component").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > COMPONENT_LINKS).select("component"), "large")
-    apart = excluded.join(own, "left_id").select("component", "left_id", "right_id") if excluded is not None else None
-    few = links if large.isEmpty() else narrow_join(links, large, "component", "left_anti")
-    rows = few.groupBy("component").agg(F.collect_list(F.struct("left_id", "left_name", "right_id", "right_name", "score")).alias("links"))
-    if apart is not None:
-        told = narrow_join(apart, few.select("component").distinct(), "component", "left_semi").groupBy("component").agg(F.collect_list(F.struct("left_id", "right_id")).alias("excluded"))
-        rows = rows.join(told, "component", "left")
-    else:
-        rows = rows.withColumn("excluded", F.lit(None).cast("array<struct<left_id:string,right_id:string>>"))
-    out = rows.mapInPandas(_cliques(thresholds, most), MEMBER)
+    links = cut(pairs.select(*_LINK).join(own, "left_id"), "links")
+    apart = cut(excluded.join(own, "left_id").select("component", "left_id", "right_id"), "apart") if excluded is not None else None
+    large = cut(links.groupBy("component").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit).select("component"), "large")
     if large.isEmpty():
-        return out
+        return _turns(links, apart, thresholds, most)
+    out = _turns(narrow_join(links, large, "component", "left_anti"), apart, thresholds, most)
     many = cut(narrow_join(links, large, "component", "left_semi"), "links")
     for t in thresholds:
-        out = out.unionByName(_in_rounds(many.where(F.col("score") >= t), excluded, t, most))
+        out = out.unionByName(_in_rounds(many.where(F.col("score") >= t), apart, t, most, limit))
     return out
 
 
-def _cliques(thresholds: list[float], most: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _turns(links: DataFrame, apart: DataFrame | None, thresholds: list[float], most: int, seeds: bool = False) -> DataFrame:
+    """MEMBER rows of the groups that each component's seeds form: all candidates in
+    turn, or (if `seeds`) only those on the left of a link, groups of one included."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for links, excluded in zip(batch["links"], batch["excluded"], strict=True):
-                names = dict([(e["left_id"], e["left_name"]) for e in links] + [(e["right_id"], e["right_name"]) for e in links])
-                scores = {(e["left_id"], e["right_id"]): e["score"] for e in links}
-                apart = {(e["left_id"], e["right_id"]) for e in excluded} if excluded is not None else set()
-                blocked = dict(scores)
+            for own, told in zip(batch.column("links"), batch.column("told"), strict=True):
+                left, left_name, right, right_name, score = (c.to_pylist() for c in own.values.flatten())
+                names = dict(zip(left, left_name, strict=True)) | dict(zip(right, right_name, strict=True))
+                scores = dict(zip(zip(left, right, strict=True), score, strict=True))
+                excluded = {(x["left_id"], x["right_id"]) for x in told.as_py() or []}
+                blocked, turn = dict(scores), set(left) if seeds else None
                 for t in thresholds:
-                    for group in greedy_cliques(list(names.items()), scores, {k for k, s in blocked.items() if s >= t}, apart, t, most):
+                    for group in greedy_cliques(list(names.items()), scores, {k for k, s in blocked.items() if s >= t}, excluded, t, most):
+                        if turn is not None and group[0] not in turn:
+                            continue
                         s = [scores[min(a, b), max(a, b)] for i, a in enumerate(group) for b in group[i + 1 :]]
                         rows += [(t, group[0], k, g, min(s), sum(s) / len(s)) for k, g in enumerate(group)]
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in MEMBER.split(", ")])
-
-    return run
-
-
-def _in_rounds(links: DataFrame, excluded: DataFrame | None, threshold: float, most: int) -> DataFrame:
-    """What greedy_cliques gives, without a group of links in one place.
-
-    A seed's turn depends on smaller ones that are its neighbours or share one. In each
-    round all candidates that are the smallest within two steps take their turns; what
-    they take is out for the next. A turn itself is `most` - 1 steps: the best neighbour
-    is taken, those that don't fit it are dropped."""
-    flip = links.select(F.col("right_id").alias("a"), F.col("right_name").alias("a_name"), F.col("left_id").alias("b"), F.col("left_name").alias("b_name"), "score")
-    edges = cut(links.select(F.col("left_id").alias("a"), F.col("left_name").alias("a_name"), F.col("right_id").alias("b"), F.col("right_name").alias("b_name"), "score").union(flip), "edges")
-    found: list[DataFrame] = []
-    while not edges.isEmpty():
-        near = cut(edges.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m")), "near")
-        far = edges.join(near.select(F.col("a").alias("b"), F.col("m").alias("n")), "b").groupBy("a").agg(F.min("n").alias("n"))
-        seeds = cut(near.join(far, "a").where("m = a and n >= a").select("a"), "seeds")
-        own = edges.join(seeds, "a", "left_semi")
-        left = cut(own.select(F.col("a").alias("seed"), F.col("b").alias("id"), F.col("b_name").alias("name"), "score", F.col("score").alias("low"), F.col("score").alias("total")), "turn")
-        taken = [seeds.select("a")]
-        for k in range(1, most):
-            best = cut(left.groupBy("seed").agg(F.min(F.struct((-F.col("score")).alias("s"), "id", "name", "low", "total")).alias("r")).select("seed", "r.*"), "best")
-            found.append(best.select("seed", F.lit(k).alias("k"), "id", "low", "total"))
-            taken.append(best.select(F.col("id").alias("a")))
-            if k + 1 == most:
-                break
-            both = left.join(best.select("seed", F.col("id").alias("other"), F.col("name").alias("other_name")), "seed").where("id <> other")
-            first = F.col("id") < F.col("other")
-            if excluded is not None:
-                told = excluded.select(F.col("left_id").alias("x"), F.col("right_id").alias("y"))
-                both = both.join(told, (F.least("id", "other") == F.col("x")) & (F.greatest("id", "other") == F.col("y")), "left_anti")
-            one, two = F.when(first, F.col("name")).otherwise(F.col("other_name")), F.when(first, F.col("other_name")).otherwise(F.col("name"))
-            both = both.withColumn("now", T.name_similarity(one, two)["score"]).where(F.col("now") >= threshold)
-            left = cut(both.select("seed", "id", "name", "score", F.least("low", "now").alias("low"), (F.col("total") + F.col("now")).alias("total")), "turn")
-            if left.isEmpty():
-                break
-        gone = cut(reduce(DataFrame.union, taken).distinct(), "gone")
-        edges = cut(edges.join(gone, "a", "left_anti").join(gone.withColumnRenamed("a", "b"), "b", "left_anti").select("a", "a_name", "b", "b_name", "score"), "edges")
-    spark = links.sparkSession
-    rows = cut(reduce(DataFrame.union, found), "found") if found else spark.createDataFrame([], "seed string, k int, id string, low double, total double")
-    size = F.count(F.lit(1)) + 1
-    sums = rows.groupBy("seed").agg(F.min("low").alias("low"), (F.sum("total") / (size * (size - 1) / 2)).alias("mean"))
-    members = rows.select("seed", F.col("k").cast("int").alias("k"), "id").union(sums.select("seed", F.lit(0), F.col("seed")))
-    return members.join(sums, "seed").select(F.lit(float(threshold)).alias("threshold"), F.col("seed").alias("seed_id"), F.col("k").alias("member_pos"), F.col("id").alias("group_id"), F.col("low").alias("min_similarity"), F.col("mean").alias("mean_similarity"))
+            columns = list(zip(*rows, strict=True)) if rows else [()] * 6
+            kinds = (pa.float64(), pa.string(), pa.int32(), pa.string(), pa.float64(), pa.float64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], [c.split()[0] for c in MEMBER.split(", ")])
+
+    rows = links.groupBy("component").agg(F.collect_list(F.struct(*_LINK)).alias("links"))
+    if apart is None:
+        rows = rows.withColumn("told", F.lit(None).cast("array<struct<left_id:string,right_id:string>>"))
+    else:
+        rows = rows.join(apart.groupBy("component").agg(F.collect_list(F.struct("left_id", "right_id")).alias("told")), "component", "left")
+    return rows.select("links", "told").mapInArrow(run, MEMBER)
+
+
+def _in_rounds(links: DataFrame, apart: DataFrame | None, threshold: float, most: int, limit: int) -> DataFrame:
+    """What greedy_cliques gives, a stretch of seeds at a time. When a seed has its turn
+    all smaller candidates are gone, so it only needs its links with larger ones. In each
+    round the smallest candidates of each component, as many as have `limit` links
+    together (one at least), have their turns in one task; they and what they took are
+    out for the next."""
+    left, found = cut(links, "links"), []
+    before = W.partitionBy("component").orderBy("left_id").rowsBetween(W.unboundedPreceding, W.currentRow)
+    while not left.isEmpty():
+        sizes = left.groupBy("component", "left_id").agg(F.count(F.lit(1)).alias("n")).withColumns({"sum": F.sum("n").over(before), "row": F.row_number().over(W.partitionBy("component").orderBy("left_id"))})
+        seeds = cut(sizes.where((F.col("sum") <= limit) | (F.col("row") == 1)).select("left_id"), "seeds")
+        own = left.join(seeds, "left_id", "left_semi")
+        groups = cut(_turns(own, apart, [threshold], most, True), "groups")
+        found.append(groups)
+        gone = cut(seeds.select(F.col("left_id").alias("id")).union(groups.select("group_id")).distinct(), "gone")
+        here = lambda c: gone.select(F.col("id").alias(c))  # noqa: B023, E731
+        left = cut(left.join(here("left_id"), "left_id", "left_anti").join(here("right_id"), "right_id", "left_anti").select(links.columns), "links")
+    return reduce(DataFrame.union, found) if found else links.sparkSession.createDataFrame([], MEMBER)
 
 
 def worth_reviewing(members: DataFrame, pool: DataFrame, least: int) -> DataFrame:

@@ -124,9 +124,8 @@ def test_no_chaining_and_one_batch_of_similar(spark):
     assert C.greedy_cliques([("a", "x"), ("b", "x"), ("c", "x")], {("a", "b"): 0.9, ("b", "c"): 0.9, ("a", "c"): 0.4}, {("a", "b"), ("b", "c")}, set(), 0.8, 12) == [["a", "b"]]
 
 
-@pytest.mark.parametrize("links", [C.COMPONENT_LINKS, 0])
-def test_components_give_what_the_whole_pool_gives(spark, monkeypatch, links):
-    monkeypatch.setattr(C, "COMPONENT_LINKS", links)  # 0: all in rounds
+@pytest.mark.parametrize("limit", [C.COMPONENT_LINKS, 40])
+def test_components_give_what_the_whole_pool_gives(spark, limit):
     rng = random.Random(5)
     words = ["media", "ethics", "law", "sport", "history", "music"]
     rows = [(f"G{i:02d}", " ".join(rng.sample(words, rng.randint(1, 3))), "x", i + 1) for i in range(40)]
@@ -134,7 +133,7 @@ def test_components_give_what_the_whole_pool_gives(spark, monkeypatch, links):
     for t in (0.6, 0.8):
         want = C.greedy_cliques([r[:2] for r in rows], dict(pairs), {k for k, v in pairs.items() if v >= t}, set(), t, 5)
         found = {}
-        for r in C.neighbourhoods(pool(spark, rows), [t], 5).orderBy("member_pos").collect():
+        for r in C.neighbourhoods(pool(spark, rows), [t], 5, limit=limit).orderBy("member_pos").collect():
             found.setdefault(r.seed_id, []).append(r.group_id)
         assert sorted(found.values()) == sorted(want)
 
