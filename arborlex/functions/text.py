@@ -7,8 +7,8 @@ label text have no built-in and run as Arrow-batched functions over few rows.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from difflib import SequenceMatcher
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -109,44 +109,57 @@ def token_list(value: str) -> list[str]:
     return sorted(set(re.findall(r"[a-z0-9]+", value.casefold().replace("&", " and "))) - set(STOPWORDS))
 
 
+def _matched(a: str, b: str) -> int:
+    """Letters in the matching blocks of two strings: the longest block that both have
+    (the first in a, then the first in b), and the same on both sides of it. Whether
+    there is a block of a length is asked of the string search, by bisection."""
+    low, high, at = 0, min(len(a), len(b)), 0
+    while low < high:
+        size = (low + high + 1) // 2
+        found = next((i for i in range(len(a) - size + 1) if a[i : i + size] in b), -1)
+        if found < 0:
+            high = size - 1
+        else:
+            low, at = size, found
+    if not low:
+        return 0
+    there = b.index(a[at : at + low])
+    return low + _matched(a[:at], b[:there]) + _matched(a[at + low :], b[there + low :])
+
+
+def ratio(a: str, b: str) -> float:
+    """The Ratcliff-Obershelp ratio, as difflib has it. From 200 letters on difflib sets
+    frequent letters aside, so such strings are left to it."""
+    if len(b) >= 200:
+        return SequenceMatcher(None, a, b).ratio()
+    return 2.0 * _matched(a, b) / (len(a) + len(b)) if a or b else 1.0
+
+
 def similarity(left: str, right: str) -> tuple[float, float, float]:
     """(score, sequence score, overlap score) of two names, in this order: the
     sequence ratio isn't symmetric."""
-    a, b = (normalized(x).replace("&", " and ") for x in (left, right))
-    s, t = token_list(left), token_list(right)
+    a, s, x = _prepared(left)
+    b, t, y = _prepared(right)
     if a == b:
         return 1.0, 1.0, float(bool(s and t))
     if not s or not t:
-        ratio = SequenceMatcher(None, a, b).ratio()
-        return ratio, ratio, 0.0
-    ratio, shared = SequenceMatcher(None, " ".join(s), " ".join(t)).ratio(), len(set(s) & set(t))
+        near = ratio(a, b)
+        return near, near, 0.0
+    near, shared = ratio(x, y), len(s & t)
     overlap = shared / min(len(s), len(t)) if shared > 1 else 0.0
-    return max(ratio, overlap), ratio, overlap
-
-
-def _can_reach(a: str, b: str, least: float) -> bool:
-    """Whether the letters of two names, in any order, or their tokens allow a score of
-    `least`."""
-    s, t = token_list(a), token_list(b)
-    if normalized(a) == normalized(b) or not s or not t:
-        return True
-    shared = len(set(s) & set(t))
-    x, y = " ".join(s), " ".join(t)
-    return (shared > 1 and shared >= least * min(len(s), len(t))) or 2 * (Counter(x) & Counter(y)).total() >= least * (len(x) + len(y))
-
-
-def name_similarity_from(least: float = 0.0):
-    """similarity() as a column; of pairs that can't reach `least`, all scores are -1."""
+    return max(near, overlap), near, overlap
 
-    @F.pandas_udf(_SCORES)
-    def name_similarity(left: pd.Series, right: pd.Series) -> pd.DataFrame:
-        rows = [similarity(a, b) if least <= 0 or _can_reach(a, b, least) else (-1.0, -1.0, -1.0) for a, b in zip(left, right, strict=True)]
-        return pd.DataFrame(rows, columns=["score", "sequence_score", "overlap_score"])
 
-    return name_similarity
+@lru_cache(1 << 15)
+def _prepared(name: str) -> tuple[str, frozenset[str], str]:
+    """A name's plain text, its tokens, and these as text: each name is in many pairs."""
+    tokens = token_list(name)
+    return normalized(name).replace("&", " and "), frozenset(tokens), " ".join(tokens)
 
 
-name_similarity = name_similarity_from()
+@F.pandas_udf(_SCORES)
+def name_similarity(left: pd.Series, right: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame([similarity(a, b) for a, b in zip(left, right, strict=True)], columns=["score", "sequence_score", "overlap_score"])
 
 
 def repair_label_text(value: object, most: int, least: int = 1) -> str | None:

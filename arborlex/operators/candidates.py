@@ -102,7 +102,9 @@ def scored_pairs(pool: DataFrame, excluded: DataFrame | None = None, least: floa
     both = _blocked(pool, least)
     if excluded is not None:
         both = both.join(excluded, ["left_id", "right_id"], "left_anti")
-    both = both.withColumn("s", T.name_similarity_from(least)("left_name", "right_name")).where(F.col("s.score") >= least)
+    # few bytes, much work: not to be merged into a few tasks
+    both = both.repartition(int(pool.sparkSession.conf.get("spark.sql.shuffle.partitions")), "left_id", "right_id")
+    both = both.withColumn("s", T.name_similarity("left_name", "right_name")).where(F.col("s.score") >= least)
     return both.select("left_id", "left_name", "right_id", "right_name", "s.score", "s.sequence_score", "s.overlap_score", F.array_sort(F.array_intersect("left_tokens", "right_tokens")).alias("shared_tokens"))
 
 

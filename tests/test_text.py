@@ -74,3 +74,18 @@ def test_truncate():
     assert T.truncate("a b c d", 4, budget=2) == "a b\n[TRUNCATED]"
     with pytest.raises(ValueError):
         T.truncate("a b", 2, budget=0)
+
+
+def test_ratio_is_that_of_difflib():
+    import difflib
+    import random
+
+    rng = random.Random(3)
+    for _ in range(4000):
+        a, b = ("".join(rng.choice("abc de") for _ in range(rng.randint(0, 30))) for _ in range(2))
+        if rng.random() < 0.5:
+            at = rng.randint(0, len(a))
+            b = a[at:] + b + a[:at]
+        assert T.ratio(a, b) == difflib.SequenceMatcher(None, a, b).ratio(), (a, b)
+    long = "ab " * 100
+    assert T.ratio("b ab", long) == difflib.SequenceMatcher(None, "b ab", long).ratio()
