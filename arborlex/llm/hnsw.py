@@ -298,8 +298,9 @@ def cells_needed(pts: DataFrame, queries: np.ndarray, c: np.ndarray, k: int, cov
     return int(ranks[min(len(ranks) - 1, int(np.ceil(covered * len(ranks))) - 1)]) + 1 if len(ranks) else len(c)
 
 
-def build(spread: DataFrame) -> DataFrame:
-    """One row for each shard: its points and graph as flat arrays."""
+def build(spread: DataFrame, shards: int) -> DataFrame:
+    """One row for each shard: its points and graph as flat arrays. Shards are few bytes
+    and much work, so they aren't merged into a few tasks."""
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("rep")
@@ -311,10 +312,10 @@ def build(spread: DataFrame) -> DataFrame:
         return pd.DataFrame([row | g.to_arrays()])
 
     schema = "shard int, dim int, longest double, vectors binary, reps binary, id_counts binary, ids binary, levels binary, links binary"
-    return spread.groupBy("shard").applyInPandas(one, schema)
+    return spread.repartition(shards, "shard").groupBy("shard").applyInPandas(one, schema)
 
 
-def search(index: DataFrame, queries: DataFrame, k: int, blocks: int = 1, ef: int = EF_SEARCH) -> DataFrame:
+def search(index: DataFrame, queries: DataFrame, k: int, shards: int, blocks: int = 1, ef: int = EF_SEARCH) -> DataFrame:
     """query (its rep), vec_id, own (whether of the query's own vector), score: for each
     query vector the k + 1 nearest ids of every shard it is sent to. queries: rep, v,
     shard. A shard meets its queries in blocks."""
@@ -346,7 +347,8 @@ def search(index: DataFrame, queries: DataFrame, k: int, blocks: int = 1, ef: in
 
     tasks = queries.withColumn("block", F.pmod(F.xxhash64("rep"), F.lit(blocks)).cast("int"))
     copies = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    return copies.groupBy("shard", "block").cogroup(tasks.groupBy("shard", "block")).applyInPandas(visit, "query long, vec_id long, own boolean, score double")
+    apart = lambda df: df.repartition(shards * blocks, "shard", "block").groupBy("shard", "block")
+    return apart(copies).cogroup(apart(tasks)).applyInPandas(visit, "query long, vec_id long, own boolean, score double")
 
 
 def _sent(queries: DataFrame, c: np.ndarray, visits: int, first: list[int], parts: list[int]) -> DataFrame:
@@ -382,11 +384,11 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, key: str = "vec_id
     parts = [-(-held.get(x, 0) // shard_points) for x in range(len(c))]
     first = np.concatenate([[0], np.cumsum(parts)]).astype(int).tolist()
     at = lambda values: F.element_at(F.array(*map(F.lit, values)), F.col("cell") + 1)
-    index = cut(build(placed.withColumn("shard", (at(first) + F.pmod(F.xxhash64("rep"), at(parts))).cast("int"))), "index")
+    index = cut(build(placed.withColumn("shard", (at(first) + F.pmod(F.xxhash64("rep"), at(parts))).cast("int")), first[-1]), "index")
     visits = cells_needed(placed, some(queries, CALIBRATE), c, k, covered)
     sent = cut(_sent(queries, c, visits, first, parts), "sent")
     blocks = max(1, -(-count * visits // (len(c) * QUERY_BLOCK)))
-    found = search(index, sent, k, blocks, ef)
+    found = search(index, sent, k, first[-1], blocks, ef)
     w = W.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     best = found.withColumn("r", F.row_number().over(w)).where(F.col("r") <= k + 1)
     best = cut(best.groupBy("query").agg(F.array_sort(F.collect_list(F.struct("r", "vec_id", "own", "score"))).alias("near")), "best")
