@@ -652,6 +652,45 @@ def test_passages_of_stock_sentences(spark):
     assert {(60, 30), (105, 91)} <= pairs and not [p for p in pairs if p[0] < 80 and p != (60, 30)]
 
 
+def test_near_holders_far_from_the_first_and_weightiest(spark):
+    # all stock sentences are frequent; documents 25 and 33 alone hold two that stand
+    # together, each with other words replaced, and every other holder has more around
+    rng = random.Random(21)
+    a, b, c, d = (prose(rng, 32) for _ in range(4))
+    alter = lambda p, at: " ".join(prose(rng, 1) if i % 12 == at else x for i, x in enumerate(p.split()))
+    texts = [" ".join((prose(rng, 60), alter(a + " " + b, i % 12) if i in (25, 33) else (a + " " + c, d + " " + b)[i % 2], prose(rng, 60))) for i in range(60)]
+    pairs = {(r.doc_id, r.other_id) for r in chaining.shared_passages(texts_frame(spark, texts)).collect()}
+    assert (33, 25) in pairs and not [p for p in pairs if set(p) & {25, 33} and p != (33, 25)]
+
+
+@pytest.mark.parametrize("many,tile", [(64, 4096), (10, 4096), (10, 16)])
+def test_places_of_a_seed_by_brute_force(monkeypatch, many, tile):
+    # 60 holders of a seed in the middle of a passage, altered to different degrees
+    monkeypatch.setattr(chaining, "MANY", many)
+    monkeypatch.setattr(chaining, "TILE", tile)
+    rng = random.Random(5)
+    p = prose(rng, 104).split()
+    texts = [" ".join(x if 50 <= k < 54 or rng.random() > 0.04 * (1 + i % 6) else prose(rng, 1) for k, x in enumerate(p)) for i in range(60)]
+    asked = [chaining.pack([np.array([x]) for x in (i, 50, 7, 0)], chaining._ASKED) for i in range(60)]
+    batch = chaining.pa.RecordBatch.from_arrays([chaining.pa.array(texts), chaining.pa.array(asked, chaining.pa.binary())], ["text", "asked"])
+    rows, linked = chaining._surroundings(1)(iter([batch])), set()
+    while rows:
+        out = [(kind, data) for r in chaining._near_linker(1, 1)(iter(rows)) for kind, data in zip(r.column("kind").to_pylist(), r.column("data").to_pylist(), strict=True)]
+        for kind, data in out:
+            if kind == 0:
+                doc, other = chaining.unpack([data], chaining._LINK)[:2]
+                linked |= {frozenset(x) for x in zip(doc.tolist(), other.tolist(), strict=True)}
+        rows = [chaining._rows(np.zeros(len(x), np.int64), x) for x in [[data for kind, data in out if kind == 1]] if x]
+    near = lambda x, y: max(np.convolve(np.array(x.split()) == np.array(y.split()), np.ones(50, int), "valid")[4:51]) >= 40
+    run = lambda x, y: max(np.convolve(np.array(x.split()) == np.array(y.split()), np.ones(50, int), "valid")[4:51]) == 50
+    partners = [{j for j in range(60) if frozenset((i, j)) in linked} for i in range(60)]
+    wanted = [(i, j) for i in range(60) for j in range(i) if near(texts[i], texts[j]) and not run(texts[i], texts[j])]
+    assert len(wanted) > 300
+    for i, j in wanted:
+        # two by two, or where there are many, both with the one that stands for them
+        assert j in partners[i] or many < 60 and partners[i] & partners[j]
+
+
 # ------------------------------------------------------------------ quality
 
 
