@@ -691,6 +691,29 @@ def test_places_of_a_seed_by_brute_force(monkeypatch, many, tile):
         assert j in partners[i] or many < 60 and partners[i] & partners[j]
 
 
+def test_words_in_another_order_are_no_near_place():
+    # around the seed the same words, in order, with some more, and in an order of their own
+    rng = np.random.default_rng(4)
+    common = lambda a, b: len(chaining._common(a, b))
+    a, b = rng.integers(1, 9, (60, 46)).astype(np.uint16), rng.integers(1, 9, (60, 72)).astype(np.uint16)
+    a[::3, 30:] = b[::2, 50:] = 0  # past the text's end
+    got = chaining._common_lengths(a, b)
+    assert all(got[i, n] == common(np.where(a[i, :n] > 0, a[i, :n], 99), b[i]) for i in range(60) for n in range(47))
+    words = rng.permutation(60_000)[: chaining._WIDE].astype(np.uint16) + 1
+    at = chaining.SIDE
+    altered, moved, mixed = words.copy(), words.copy(), words.copy()
+    altered[[at - 9, at + 12, at + 20, at + 31]] = 1
+    moved[at - 9] = 1
+    moved[at + chaining.K + 5 :] = np.concatenate([[1] * 9, words[at + chaining.K + 5 : -9]])
+    mixed[:at] = words[:at].reshape(-1, 12)[:, ::-1].ravel()
+    mixed[at + chaining.K :] = words[at + chaining.K :].reshape(-1, 12)[:, ::-1].ravel()
+    near = lambda *rows: [{(max(i, j), min(i, j)) for i, j in zip(i.tolist(), j.tolist(), strict=True)} for i, j in rows]
+    for other, linked in ((altered, True), (moved, True), (mixed, False)):
+        both, doc, none = np.stack([words, other]), np.arange(2), np.zeros(2, np.int64)
+        for found in (chaining._near_few(both, doc, none, none), chaining.near_places(both, doc, none, none)):
+            assert set().union(*near(*found)) == ({(1, 0)} if linked else set())
+
+
 # ------------------------------------------------------------------ quality
 
 
