@@ -292,6 +292,14 @@ def test_toxicity_is_learned(spark):
     assert r.tp / r.t > 0.85 and r.tp / r.p > 0.85
 
 
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_toxic_rows_that_are_held_out_rank_above_clean_ones(spark, sf):
+    docs, labels = (spark.read.parquet(f"/root/testdata/{sf}/{t}.parquet") for t in ("documents", "labels"))
+    rows = toxicity.toxicity(docs, labels).join(labels, "doc_id").where("held_out").select("score", "toxic").toPandas()
+    ranks, many = rows.score.rank()[rows.toxic == 1], int((rows.toxic == 1).sum())
+    assert (ranks.sum() - many * (many + 1) / 2) / (many * (len(rows) - many)) > 0.95
+
+
 def test_toxicity_of_odd_rows(spark):
     labels = spark.createDataFrame([(i, int(i % 2 == 0)) for i in range(40)], "doc_id long, toxic int")
     rows = [(i, f"you are a gronk today {i}" if i % 2 == 0 else f"a fine day {i}", "en", "s", 0, "", "") for i in range(40)]
