@@ -1,7 +1,10 @@
+import itertools
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from arborlex.operators import candidates as C
 from arborlex.operators.inference import LexicalLabeler, ReplayLabeler
@@ -10,8 +13,10 @@ from arborlex.plans import discover as D
 from arborlex.plans import sweep as S
 from arborlex.plans.classifier import classify_to
 from arborlex.plans.classify import RESULT, run_classification
+from arborlex.plans.queries import QUERIES
 from arborlex.sources.sinks import epochs, read_log
 from arborlex.streaming.discovery import discover_stream
+from tests.conftest import SF
 
 SEEDS = [Label(f"L{i:03d}", f"Seed {i}", f"Definition {i}") for i in range(1, 25)]
 QUANTUM = {"name": "Quantum computing", "definition": "On qubits"}
@@ -138,6 +143,38 @@ def test_components_give_what_the_whole_pool_gives(spark, limit):
         assert sorted(found.values()) == sorted(want)
 
 
+def per_task(pairs):
+    """Each pair with its task; no task makes more than 2 * PART * PART."""
+    rows = pairs.select("left_id", "right_id", F.spark_partition_id().alias("task")).collect()
+    assert max(Counter(r.task for r in rows).values()) <= 2 * C.PART**2
+    return sorted((r.left_id, r.right_id) for r in rows)
+
+
+def test_pairs_of_a_common_token_are_dealt_over_tasks(spark, monkeypatch):
+    monkeypatch.setattr(C, "PART", 16)
+    monkeypatch.setattr(C, "TASK_PAIRS", 8)
+    rng = random.Random(6)
+    rows = [(f"G{i:03d}", f"common {' '.join(rng.sample('abcdefgh', 3))}", "x", 1) for i in range(150)]
+    assert per_task(C.block_pairs(pool(spark, rows))) == [(a[0], b[0]) for a, b in itertools.combinations(rows, 2)]
+
+
+def test_pairs_that_were_told_apart_come_once(spark, monkeypatch):
+    monkeypatch.setattr(C, "PART", 16)
+    monkeypatch.setattr(C, "TASK_PAIRS", 8)
+    rng = random.Random(7)
+    history = [(f"E{rng.choice((0, 0, 0, 1, 2))}", f"G{rng.randint(0, 129):03d}", f"R{rng.randint(0, 3)}") for _ in range(500)]
+    now = {f"G{i:03d}" for i in range(120)}
+    want = {(a, b) for (e, a, x), (f, b, y) in itertools.product(history, history) if e == f and a < b and x != y and {a, b} <= now}
+    frame = spark.createDataFrame(history, "entry_id string, group_id string, rep string")
+    assert per_task(C.reviewed_pairs(frame, pool(spark, [(g, g, "x", 1) for g in now]))) == sorted(want)
+
+
+@pytest.mark.parametrize("name", ["overlap_score", "excluded_pairs_filter", "reviewed_pairs"])
+def test_pairs_are_made_once_and_not_shuffled(spark, name):
+    plan = QUERIES[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1 and "Repartition" not in plan[: plan.index("Join ")] and "Aggregate" not in plan
+
+
 def test_sweep_reports(spark, tmp_path):
     rows = [("G1", "Media Ethics", "x", 2), ("G2", "Ethics of Media", "x", 2), ("G3", "Chess", "x", 1)]
     s = S.sweep(pool(spark, rows), S.parse_thresholds("80, 0.95"))
