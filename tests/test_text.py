@@ -1,5 +1,7 @@
 import hashlib
+import random
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -89,3 +91,12 @@ def test_ratio_is_that_of_difflib():
         assert T.ratio(a, b) == difflib.SequenceMatcher(None, a, b).ratio(), (a, b)
     long = "ab " * 100
     assert T.ratio("b ab", long) == difflib.SequenceMatcher(None, "b ab", long).ratio()
+
+
+def test_many_similarities_are_those_of_each_pair():
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abc") for _ in range(rng.randint(1, 9))) for _ in range(40)] + ["and", "the", "é", "ß", "&"]
+    names = list(dict.fromkeys([" ".join(rng.sample(words, rng.randint(1, 5))) for _ in range(300)] + ["", "The", "x" * 64, "x" * 65, "ab" * 32, "abc " * 60, "Media & Law", "media and law"]))
+    left, right = (np.array([rng.randrange(len(names)) for _ in range(6000)]) for _ in "lr")
+    want = np.array([T.similarity(names[a], names[b]) for a, b in zip(left, right, strict=True)]).T
+    assert (T.similarities(names, left, right) == want).all()
