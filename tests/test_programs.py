@@ -175,6 +175,12 @@ def test_pairs_are_made_once_and_not_shuffled(spark, name):
     assert plan.count("Join ") == 1 and "Repartition" not in plan[: plan.index("Join ")] and "Aggregate" not in plan
 
 
+def test_pairs_of_a_sweep_need_no_groups(spark, monkeypatch):
+    rows = [("G1", "Media Ethics", "x", 2), ("G2", "Ethics of Media", "x", 2)]
+    monkeypatch.setattr(S, "neighbourhoods", None)
+    assert S.sweep(pool(spark, rows), [0.6, 0.8]).pair_rows().count() == 1
+
+
 def test_sweep_reports(spark, tmp_path):
     rows = [("G1", "Media Ethics", "x", 2), ("G2", "Ethics of Media", "x", 2), ("G3", "Chess", "x", 1)]
     s = S.sweep(pool(spark, rows), S.parse_thresholds("80, 0.95"))
