@@ -100,3 +100,6 @@ def test_many_similarities_are_those_of_each_pair():
     left, right = (np.array([rng.randrange(len(names)) for _ in range(6000)]) for _ in "lr")
     want = np.array([T.similarity(names[a], names[b]) for a, b in zip(left, right, strict=True)]).T
     assert (T.similarities(names, left, right) == want).all()
+    for least in (0.3, 0.6, 0.8):
+        got = T.similarities(names, left, right, least)
+        assert (got == want)[:, want[0] >= least].all() and (got[0] < least)[want[0] < least].all() and (got == -1).any()
