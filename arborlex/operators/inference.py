@@ -1,7 +1,7 @@
 """Document inference: labelers, output checks, the classifier's batch shape.
 
 A labeler maps texts and the present labels to ids and proposals. It runs inside
-mapInPandas with the labels as a snapshot; what it gives is written once before
+mapInArrow with the labels as a snapshot; what it gives is written once before
 anything is counted, as inference isn't to be repeated.
 """
 
@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator, Sequence
 from typing import Protocol
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -80,22 +81,25 @@ def label_documents(docs: DataFrame, labeler: Labeler, labels: Sequence[Label],
     valid, snapshot = {x.id for x in labels}, list(labels)
     passed = [c for c in docs.columns if c != "text"]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in batches:
-            for at in range(0, len(frame), batch):
-                part = frame.iloc[at : at + batch]
-                texts = [prepare(t) if prepare else t for t in part["text"]]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Only `batch` texts at a time become Python strings."""
+        proposal = pa.struct([("name", pa.string()), ("definition", pa.string())])
+        kinds = (pa.list_(pa.string()), pa.list_(proposal), pa.string())
+        for whole in batches:
+            for at in range(0, whole.num_rows, batch):
+                part = whole.slice(at, batch)
+                texts = [prepare(t) if prepare else t for t in part.column("text").to_pylist()]
                 rows = []
                 for ids, proposed in labeler(texts, snapshot, discover):
                     ids, proposed = fix_output(ids, proposed)
                     rows.append((ids, proposed, check_output(ids, proposed, valid, most_ids, most_proposed if discover else 0, 0 if discover else 1)))
-                if len(rows) != len(part):
-                    raise ValueError(f"{len(rows)} outputs for {len(part)} documents")
-                out = pd.DataFrame(rows, columns=["assigned_label_ids", "proposed_labels", "problem"], index=part.index)
-                yield pd.concat([part[passed], out], axis=1)
+                if len(rows) != part.num_rows:
+                    raise ValueError(f"{len(rows)} outputs for {part.num_rows} documents")
+                out = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in passed), *out], names=[*passed, "assigned_label_ids", "proposed_labels", "problem"])
 
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text")
-    return docs.mapInPandas(run, f"{kept}, {OUTPUT}")
+    return docs.mapInArrow(run, f"{kept}, {OUTPUT}")
 
 
 # ------------------------------------------------------------ classification

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from arborlex.operators import candidates as C
-from arborlex.operators.inference import LexicalLabeler, ReplayLabeler
+from arborlex.operators.inference import LexicalLabeler, ReplayLabeler, label_documents
 from arborlex.operators.taxonomy import Group, Label, Settings, TaxonomyError, load, new_taxonomy, save
 from arborlex.plans import discover as D
 from arborlex.plans import sweep as S
@@ -243,3 +243,16 @@ def test_a_folder_of_another_file_system(spark, tmp_path):
     t = D.discover(corpus(spark), ReplayLabeler(ANSWERS), D.KeepAll(), SEEDS, "topic", folder, SETTINGS)
     assert t.frozen and load(f"{folder}/taxonomy_state.json").digest() == t.digest()
     assert epochs(f"{folder}/discovery") == [1, 2]
+
+
+def test_labelling_takes_a_batch_at_a_time_and_passes_columns_on(spark):
+    class Longest:
+        def __call__(self, texts, labels, discover):
+            return [([f"L{len(texts):03d}"], [{"name": "Quantum", "definition": "On qubits"}])] * len(texts)
+
+    rows = [(i, 2**53 + 1 if i % 2 else None, f"Text {i}") for i in range(20)]
+    out = label_documents(spark.createDataFrame(rows, "doc_id long, n long, text string").coalesce(1), Longest(), SEEDS, True, batch=8)
+    assert "MapInArrow" in out._jdf.queryExecution().optimizedPlan().toString()
+    got = sorted(out.collect(), key=lambda r: r.doc_id)
+    assert [r.n for r in got] == [r[1] for r in rows] and [r.assigned_label_ids for r in got] == [["L008"]] * 16 + [["L004"]] * 4
+    assert got[0].proposed_labels[0].name == "Quantum" and all(r.problem is None for r in got)
